@@ -1,0 +1 @@
+"""Empty on purpose: all the work here is bounded batch, there is no stream to process."""
