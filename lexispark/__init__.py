@@ -6,4 +6,12 @@ Every operator takes and returns DataFrames.  The sub-packages are
 * ``sources``    table readers, the cleaned-text cache and the sinks
 * ``operators``  one DataFrame transformation each
 * ``plans``      workflows made of several operators
+* ``workload``   the registered queries and their SQL twins
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions for the executors travel with the job, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

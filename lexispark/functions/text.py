@@ -50,17 +50,38 @@ def lowered(text: Column) -> Column:
     return F.lower(F.coalesce(text, F.lit("")))
 
 
+def only_charset(text: Column, preserve_hyphen_underscore: bool = True) -> Column:
+    return F.regexp_replace(text, KEEP_HYPHEN if preserve_hyphen_underscore else KEEP_ALNUM, " ")
+
+
+def collapsed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, rf"[{WS}]+", " "))
+
+
 def keep_charset(text: Column, preserve_hyphen_underscore: bool = True) -> Column:
-    kept = F.regexp_replace(text, KEEP_HYPHEN if preserve_hyphen_underscore else KEEP_ALNUM, " ")
-    return F.trim(F.regexp_replace(kept, r"\s+", " "))
+    return collapsed(only_charset(text, preserve_hyphen_underscore))
+
+
+def without_math(text: Column) -> Column:
+    return F.regexp_replace(text, MATH, " ")
+
+
+def without_commands(text: Column) -> Column:
+    return F.regexp_replace(text, COMMAND, " ")
+
+
+def without_urls(text: Column) -> Column:
+    return F.regexp_replace(text, URL, " ")
+
+
+def without_citations(text: Column) -> Column:
+    return F.regexp_replace(text, CITATION, " ")
 
 
 def cleaned(text: Column, preserve_hyphen_underscore: bool = True) -> Column:
     """Lowercase text without math, LaTeX commands, URLs, numeric citations and symbols."""
-    out = lowered(text)
-    for pattern in (MATH, COMMAND, URL, CITATION):
-        out = F.regexp_replace(out, pattern, " ")
-    return keep_charset(out, preserve_hyphen_underscore)
+    plain = without_citations(without_urls(without_commands(without_math(lowered(text)))))
+    return keep_charset(plain, preserve_hyphen_underscore)
 
 
 def cleaned_keeping_braces(text: Column) -> Column:
@@ -123,5 +144,5 @@ def ngrams(tokens: Column, n_max: int) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; empty text has none."""
-    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{WS}]+", " "))
+    t = collapsed(F.coalesce(text, F.lit("")))
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, " "))).cast("long")

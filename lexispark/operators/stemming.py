@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexispark.session import materialize
+
 # Letter classes.  ``y`` is a vowel after a consonant.
 C = "[^aeiou][^aeiouy]*"
 V = "[aeiouy][aeiou]*"
@@ -64,7 +66,11 @@ def _suffix_rules(word: Column, rules: tuple[tuple[str, str], ...]) -> Column:
 
 
 def stem_mapping(vocabulary: DataFrame, token: str = "token") -> DataFrame:
-    """``(token, norm)`` for a table of distinct tokens."""
+    """``(token, norm)`` for a table of distinct tokens.
+
+    The result is stored: a filter on ``norm`` would otherwise be pushed down through the
+    chained rules and repeat each of them many times over.
+    """
     w = F.col("w")
     df = vocabulary.select(F.col(token).alias("token"), F.lower(token).alias("w"))
 
@@ -126,8 +132,9 @@ def stem_mapping(vocabulary: DataFrame, token: str = "token") -> DataFrame:
 
     irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
     lowered = F.lower("token")
-    return df.select(
+    mapping = df.select(
         "token",
         F.when(irregular[lowered].isNotNull(), irregular[lowered])
         .when(F.length("token") <= 2, lowered).otherwise(w).alias("norm"),
     )
+    return materialize(mapping, "stems")
