@@ -15,6 +15,10 @@ URL = rf"https?://[^{WS}]+|www\.[^{WS}]+"
 CITATION = rf"\[[0-9,{WS}]+\]"
 KEEP_HYPHEN = r"[^a-z0-9\-_ ]"
 KEEP_ALNUM = r"[^a-z0-9 ]"
+KEPT_RUN = r"[a-z0-9_-]+"
+ALNUM_RUN = r"[a-z0-9]+"
+# A kept run without hyphens and underscores at its ends.
+WORD = r"[a-z0-9](?:[a-z0-9_-]*[a-z0-9])?"
 
 # Patterns of the preset that keeps the text inside braces.
 # ``(?d)`` makes ``.`` stop at a newline only.
@@ -54,12 +58,21 @@ def only_charset(text: Column, preserve_hyphen_underscore: bool = True) -> Colum
     return F.regexp_replace(text, KEEP_HYPHEN if preserve_hyphen_underscore else KEEP_ALNUM, " ")
 
 
+def _runs(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
 def collapsed(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, rf"[{WS}]+", " "))
+    """White space trimmed at the ends and otherwise one space."""
+    return F.array_join(_runs(text, rf"[^{WS}]+"), " ")
 
 
 def keep_charset(text: Column, preserve_hyphen_underscore: bool = True) -> Column:
-    return collapsed(only_charset(text, preserve_hyphen_underscore))
+    """:func:`only_charset` with spaces collapsed: the runs of kept characters, joined by a space.
+
+    Picking the runs is several times faster than replacing everything between them.
+    """
+    return F.array_join(_runs(text, KEPT_RUN if preserve_hyphen_underscore else ALNUM_RUN), " ")
 
 
 def without_math(text: Column) -> Column:
@@ -78,10 +91,14 @@ def without_citations(text: Column) -> Column:
     return F.regexp_replace(text, CITATION, " ")
 
 
+def plain(text: Column) -> Column:
+    """Lowercase text without math, LaTeX commands, URLs and numeric citations."""
+    return without_citations(without_urls(without_commands(without_math(lowered(text)))))
+
+
 def cleaned(text: Column, preserve_hyphen_underscore: bool = True) -> Column:
-    """Lowercase text without math, LaTeX commands, URLs, numeric citations and symbols."""
-    plain = without_citations(without_urls(without_commands(without_math(lowered(text)))))
-    return keep_charset(plain, preserve_hyphen_underscore)
+    """:func:`plain` text without symbols."""
+    return keep_charset(plain(text), preserve_hyphen_underscore)
 
 
 def cleaned_keeping_braces(text: Column) -> Column:
@@ -99,13 +116,13 @@ def cleaned_keeping_braces(text: Column) -> Column:
     return keep_charset(out)
 
 
-def word_tokens(cleaned_text: Column) -> Column:
-    """White-space tokens without hyphens and underscores at their ends.
+def word_tokens(plain_text: Column, preserve_hyphen_underscore: bool = True) -> Column:
+    """White-space tokens of the cleaned text without hyphens and underscores at their ends.
 
-    On cleaned text that is the same as the longest runs that begin and end with
-    a letter or digit, so one regular expression does it.
+    The other symbols separate tokens just as spaces do, so the tokens are taken from the plain text
+    (or the cleaned one) in one step.
     """
-    return F.regexp_extract_all(cleaned_text, F.lit(r"[a-z0-9](?:[a-z0-9_-]*[a-z0-9])?"), F.lit(0))
+    return _runs(plain_text, WORD if preserve_hyphen_underscore else ALNUM_RUN)
 
 
 def without(tokens: Column, words: Iterable[str]) -> Column:
@@ -124,7 +141,7 @@ def joined(tokens: Column) -> Column:
 
 def vectorizer_tokens(text: Column, stop_words: Iterable[str] = (), pattern: str = TOKEN_PATTERN) -> Column:
     """Tokens as the vectoriser sees them: pattern matches of the lowercase text."""
-    return without(F.regexp_extract_all(lowered(text), F.lit(pattern), F.lit(0)), stop_words)
+    return without(_runs(lowered(text), pattern), stop_words)
 
 
 def ngrams(tokens: Column, n_max: int) -> Column:
@@ -144,5 +161,4 @@ def ngrams(tokens: Column, n_max: int) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; empty text has none."""
-    t = collapsed(F.coalesce(text, F.lit("")))
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, " "))).cast("long")
+    return F.size(_runs(F.coalesce(text, F.lit("")), rf"[^{WS}]+")).cast("long")

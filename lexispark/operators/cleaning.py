@@ -57,7 +57,8 @@ def clean_text(df: DataFrame, col: str, cfg: CleaningConfig = CleaningConfig(),
 
 
 def tokens_column(col: Column, cfg: CleaningConfig) -> Column:
-    tokens = T.without(T.word_tokens(cleaned_column(col, cfg)), cfg.dropped_words())
+    words = T.word_tokens(T.plain(col), cfg.preserve_hyphen_underscore)
+    tokens = T.without(words, cfg.dropped_words())
     return T.longer_than_one(tokens) if cfg.remove_single_char_tokens else tokens
 
 

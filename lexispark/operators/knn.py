@@ -132,9 +132,13 @@ def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, dim: in
     def compare(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         return _block_top(q, t, dim, k)
 
+    # a fixed number of partitions: a block is little data but much arithmetic, so small ones must not be merged
+    spark = train.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    place = [n, *block, "part"]
     found = (
-        asked.groupBy(*block, "part")
-        .cogroup(rows.select(*block, "part", "idx", "w", "members").groupBy(*block, "part"))
+        asked.repartition(*place).groupBy(*block, "part")
+        .cogroup(rows.select(*block, "part", "idx", "w", "members").repartition(*place).groupBy(*block, "part"))
         .applyInPandas(compare, schema)
     )
     candidates = found.select("vec", "sim", F.explode("members").alias("m")).select("vec", "sim", "m.label", "m.id")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexispark.functions.arithmetic import weighted_sums
 from lexispark.operators.scoring import linear_scores, predicted
 from lexispark.operators.split import epoch_batches
-from lexispark.session import class_values, materialize
+from lexispark.session import class_values, materialize, spread
 
 # Numbers a model may have; it is broadcast to the tasks for every update.
 MAX_MODEL_CELLS = 50_000_000
@@ -164,7 +164,8 @@ def fit_ovr(rows: DataFrame, key: str, label: str, n_features: int, cfg: SgdConf
         raise ValueError("classes times features is too large for a broadcast model")
     from lexispark.operators.encode import encode_labels
 
-    encoded = materialize(encode_labels(rows, label, classes).select(key, "label_idx", "idx", "w"), "sgd-rows")
+    encoded = spread(
+        materialize(encode_labels(rows, label, classes).select(key, "label_idx", "idx", "w"), "sgd-rows"), key)
     counted = {r["label_idx"]: r["count"] for r in encoded.groupBy("label_idx").count().collect()}
     per_class = np.array([counted[c] for c in range(len(classes))], dtype=float)
     n = per_class.sum()
@@ -179,14 +180,13 @@ def fit_ovr(rows: DataFrame, key: str, label: str, n_features: int, cfg: SgdConf
         if n_batches > 1:
             ordered = epoch_batches(encoded, key, cfg.batch_size, cfg.seed, epoch).sortWithinPartitions("batch").persist()
         else:
-            ordered = encoded
+            ordered = encoded.persist()
         for b in range(n_batches):
             batch = ordered.where(F.col("batch") == b) if n_batches > 1 else ordered
             grad, grad_bias = _batch_gradient(batch, weights, bias, pos, neg, cfg.loss)
             weights = weights - cfg.learning_rate * (grad + reg * weights)
             bias = bias - cfg.learning_rate * grad_bias
-        if n_batches > 1:
-            ordered.unpersist()
+        ordered.unpersist()
     return LinearModel(classes, weights, bias)
 
 

@@ -66,6 +66,16 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a part of a table that has fewer splits than there are cores.
+
+    For work that is heavy per byte.  A large table has more splits and is left alone.  ``scan`` should
+    be a stored table, so that asking for its splits runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Broadcast hint for a side whose row bound is known from its parameters.
 

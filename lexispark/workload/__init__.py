@@ -1,8 +1,8 @@
 """Registered queries over the given tables, with the SQL they are checked against."""
 
-from lexispark.workload import features, profiles, splits, tables, texts
+from lexispark.workload import features, models, profiles, splits, tables, texts
 
-PARTS = (tables, profiles, texts, features, splits)
+PARTS = (tables, profiles, texts, features, splits, models)
 
 
 def all_queries() -> dict:

@@ -14,7 +14,7 @@ from lexispark.operators.reduce import singular_value_table, truncated_svd
 from lexispark.session import class_values
 from lexispark.workload import sql as S
 from lexispark.workload.inputs import (
-    CLEANING, KEY, LABEL, STOP_WORDS, TFIDF, documents, features, table, train_documents,
+    CLEANING, KEY, LABEL, STOP_WORDS, TFIDF, documents, features, table, texts, train_documents,
 )
 
 SWEEP = (2000, 1000, 500, 100)
@@ -22,7 +22,7 @@ WIDE = V.TfidfConfig(max_features=2000, ngram_max=2, max_df=0.8)
 
 
 def _regex_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select(KEY, T.cleaned(F.col("text")).alias("cleaned"))
+    return texts(spark, sf_dir).select(KEY, T.cleaned(F.col("text")).alias("cleaned"))
 
 
 def _terms(cfg: V.TfidfConfig):

@@ -8,6 +8,7 @@ from lexispark.functions import text as T
 from lexispark.operators.cleaning import CleaningConfig
 from lexispark.operators.vocabulary import TfidfConfig
 from lexispark.plans.features import TextFeatures, text_features
+from lexispark.session import spread
 
 KEY, LABEL = "doc_id", "lang"
 SEED = 42
@@ -31,6 +32,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key, label and text, with the regular expressions spread over all cores."""
+    return spread(documents(spark, sf_dir).select(KEY, LABEL, "text"), KEY)
+
+
 def train_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an entry in ``labels``."""
     return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), KEY, "left_semi")
@@ -58,7 +64,7 @@ def latex_text() -> Column:
 
 
 def latex_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select(KEY, latex_text().alias("text"))
+    return spread(documents(spark, sf_dir), KEY).select(KEY, latex_text().alias("text"))
 
 
 def features(spark: SparkSession, sf_dir: str, cfg: TfidfConfig = TFIDF) -> TextFeatures:

@@ -11,9 +11,10 @@ from lexispark.operators.cleaning import (
 from lexispark.operators.stemming import (
     DOUBLE, HAS_VOWEL, IRREGULAR, MEASURE_1, MEASURE_1_UP, MEASURE_2_UP, SHORT_END, STEP_2, STEP_3, STEP_4, stem_mapping,
 )
+from lexispark.session import materialize
 from lexispark.workload import sql as S
 from lexispark.workload.inputs import (
-    CLEANING, KEY, LABEL, LATEX_PARTS, documents, latex_documents, table, test_documents, train_documents,
+    CLEANING, KEY, LABEL, LATEX_PARTS, latex_documents, table, test_documents, texts, train_documents,
 )
 
 NO_DROPS = CleaningConfig(use_lemmatization=False, remove_stopwords=False, remove_single_char_tokens=False)
@@ -28,7 +29,7 @@ def _step(column):
 
 
 def _missing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select(KEY, F.when(F.col(LABEL) != "es", F.col("text")).alias("text"))
+    docs = texts(spark, sf_dir).select(KEY, F.when(F.col(LABEL) != "es", F.col("text")).alias("text"))
     return clean_text(docs, "text", CLEANING).select(KEY, "cleaned")
 
 
@@ -49,31 +50,32 @@ def _preset(name: str):
 
 
 def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = token_counts(tokenize(documents(spark, sf_dir), "text", CLEANING))
+    words = token_counts(tokenize(texts(spark, sf_dir), "text", CLEANING))
     return stem_mapping(words)
 
 
 def stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = CleaningConfig(use_stemming=True, use_lemmatization=False)
-    return preprocess(documents(spark, sf_dir).select(KEY, "text"), KEY, "text", cfg).select(KEY, "cleaned")
+    return preprocess(texts(spark, sf_dir).select(KEY, "text"), KEY, "text", cfg).select(KEY, "cleaned")
 
 
 def plural_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for the noun dictionary: plurals whose singular is a token of the corpus too."""
-    words = token_counts(tokenize(documents(spark, sf_dir), "text", CLEANING)).select("token")
+    words = materialize(token_counts(tokenize(texts(spark, sf_dir), "text", CLEANING)).select("token"), "words")
     plurals = words.where(F.col("token").endswith("s") & (F.length("token") > 3)).select(
         "token", F.expr("substring(token, 1, length(token) - 1)").alias("norm"))
-    return plurals.join(words.withColumnRenamed("token", "norm"), "norm", "left_semi").select("token", "norm")
+    return materialize(
+        plurals.join(words.withColumnRenamed("token", "norm"), "norm", "left_semi").select("token", "norm"), "plurals")
 
 
 def lemmatized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select(KEY, "text")
+    docs = texts(spark, sf_dir).select(KEY, "text")
     return preprocess(docs, KEY, "text", CleaningConfig(), plural_dictionary(spark, sf_dir)).select(KEY, "cleaned")
 
 
 def lemma_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same normalisation with the dictionary joined by shuffle, as for a large one."""
-    docs = tokenize(documents(spark, sf_dir).select(KEY, "text"), "text", CLEANING)
+    docs = tokenize(texts(spark, sf_dir).select(KEY, "text"), "text", CLEANING)
     done = normalize_tokens(docs, KEY, "tokens", plural_dictionary(spark, sf_dir), mapping_is_small=False)
     return done.select(KEY, F.array_join("tokens", " ").alias("cleaned"))
 
