@@ -7,12 +7,13 @@ can take any of them.  ``train`` and ``test`` hold cleaned text.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from lexispark.operators import bayes, knn, linear, reduce as svd, trees
-from lexispark.operators.vocabulary import feature_size_sweep, sparse_rows
+from lexispark.operators.vocabulary import feature_size_sweep, sparse_rows, tfidf
 from lexispark.plans.features import IS_TRAIN, TextFeatures
 from lexispark.session import class_values, materialize
 
@@ -98,3 +99,11 @@ def svd_logistic(f: TextFeatures, components: int = 100, c: float = 1.0, balance
     train, test = _reduced(f, components, n_iter, seed)
     model = linear.fit_multinomial(linear.ml_vectors(train, components), f.label, c, balanced)
     return linear.predict_rows(model, test, f.key, (f.label,))
+
+
+def with_max_features(f: TextFeatures, size: int) -> TextFeatures:
+    """The same features with a smaller vocabulary; the counts are reused, the rows get new norms."""
+    vocab = f.vocab.where(F.col("rank") <= size)
+    cfg = replace(f.cfg, max_features=size)
+    weights = tfidf(f.counts, vocab, f.key, cfg, (IS_TRAIN,)).select(f.key, f.label, IS_TRAIN, "rank", "w")
+    return replace(f, cfg=cfg, vocab=vocab, weights=materialize(weights, "weights", (IS_TRAIN,)))
