@@ -58,7 +58,7 @@ def _matrix(idx: pd.Series, w: pd.Series, dim: int) -> np.ndarray:
 
 
 def _distinct_train(train: DataFrame, key: str, label: str, k: int) -> DataFrame:
-    """One row per vector with its first ``k`` (label, key) pairs."""
+    """One row per vector with the ``labels`` and ``ids`` of its first ``k`` rows."""
     first = Window.partitionBy("vec").orderBy(label, key)
     return (
         train.select("idx", "w", label, key, _vector_key().alias("vec"))
@@ -70,6 +70,7 @@ def _distinct_train(train: DataFrame, key: str, label: str, k: int) -> DataFrame
             F.any_value("w").alias("w"),
             F.sort_array(F.collect_list(F.struct(F.col(label).alias("label"), F.col(key).alias("id")))).alias("members"),
         )
+        .select("vec", "idx", "w", F.col("members.label").alias("labels"), F.col("members.id").alias("ids"))
     )
 
 
@@ -95,20 +96,20 @@ def _cells(train: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
 
 
 def _block_top(queries: pd.DataFrame, rows: pd.DataFrame, dim: int, k: int) -> pd.DataFrame:
-    """The ``k`` best rows of one block for each query, by similarity, label and key."""
+    """The ``k`` best vectors of one block for each query, by similarity and their first label and key."""
     if not len(queries) or not len(rows):
-        return pd.DataFrame({"vec": [], "sim": [], "members": []})
-    rows = rows.assign(_first=rows["members"].map(lambda m: (m[0]["label"], m[0]["id"]))).sort_values("_first")
+        return pd.DataFrame({"vec": [], "sim": [], "labels": [], "ids": []}, dtype=object)
+    first = pd.DataFrame({"label": rows["labels"].str[0], "id": rows["ids"].str[0]})
+    rows = rows.loc[first.sort_values(["label", "id"]).index]
     sims = np.round(_matrix(queries["idx"], queries["w"], dim) @ _matrix(rows["idx"], rows["w"], dim).T, SIM_DIGITS)
-    members = rows["members"].to_numpy()
-    vec = queries["vec"].to_numpy()
+    labels, ids, vec = rows["labels"].to_numpy(), rows["ids"].to_numpy(), queries["vec"].to_numpy()
     every = np.arange(len(vec))
     parts = []
     for _ in range(min(k, sims.shape[1])):
         at = sims.argmax(axis=1)  # the first maximum is the row that comes first by label and key
-        parts.append(pd.DataFrame({"vec": vec, "sim": sims[every, at], "members": members[at]}))
+        parts.append(pd.DataFrame({"vec": vec, "sim": sims[every, at], "labels": labels[at], "ids": ids[at]}))
         sims[every, at] = -np.inf
-    return pd.concat(parts)
+    return pd.concat(parts, ignore_index=True)
 
 
 def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, dim: int, k: int, block_rows: int) -> DataFrame:
@@ -125,9 +126,8 @@ def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, dim: in
         .select(*block, "part", "vec", "idx", "w")
     )
     rows = train.join(load, block).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    members = train.schema["members"].dataType
     schema = T.StructType([T.StructField("vec", T.StringType()), T.StructField("sim", T.DoubleType()),
-                           T.StructField("members", members)])
+                           train.schema["labels"], train.schema["ids"]])
 
     def compare(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         return _block_top(q, t, dim, k)
@@ -138,10 +138,11 @@ def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, dim: in
     place = [n, *block, "part"]
     found = (
         asked.repartition(*place).groupBy(*block, "part")
-        .cogroup(rows.select(*block, "part", "idx", "w", "members").repartition(*place).groupBy(*block, "part"))
+        .cogroup(rows.select(*block, "part", "idx", "w", "labels", "ids").repartition(*place).groupBy(*block, "part"))
         .applyInPandas(compare, schema)
     )
-    candidates = found.select("vec", "sim", F.explode("members").alias("m")).select("vec", "sim", "m.label", "m.id")
+    members = F.explode(F.arrays_zip(F.col("labels").alias("label"), F.col("ids").alias("id"))).alias("m")
+    candidates = found.select("vec", "sim", members).select("vec", "sim", "m.label", "m.id")
     return _best(candidates, k)
 
 
@@ -226,10 +227,11 @@ def knn_neighbours(train: DataFrame, test: DataFrame, key: str, label: str, dim:
     ``train`` and ``test`` hold unit-length rows in the layout ``idx, w``.
     """
     near = _nearest(train, _distinct_queries(test), key, label, dim, k, block_rows, seed)
+    near = near.withColumnsRenamed({"id": "_id", "label": "_label"})
     return test.select(key, _vector_key().alias("vec")).join(near, "vec").select(
         key,
-        F.col("id").alias("neighbour"),
-        F.col("label").alias(label),
+        F.col("_id").alias("neighbour"),
+        F.col("_label").alias(label),
         (F.lit(1.0) - F.col("sim")).alias("distance"),
         "rank",
     )
@@ -260,5 +262,5 @@ def knn_predict(train: DataFrame, test: DataFrame, key: str, label: str, dim: in
     """``(key, keep..., predicted)``; the vote is taken once per distinct vector."""
     near = _nearest(train, _distinct_queries(test), key, label, dim, k, block_rows, seed)
     near = near.withColumn("distance", F.lit(1.0) - F.col("sim"))
-    votes = vote(near.withColumnRenamed("label", label) if label != "label" else near, "vec", label, weighting, out)
+    votes = vote(near, "vec", "label", weighting, out)
     return test.select(key, *keep, _vector_key().alias("vec")).join(votes, "vec").select(key, *keep, out)
