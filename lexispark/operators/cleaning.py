@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.functions import text as T
 from lexispark.operators.ranking import spread_join
-from lexispark.session import fits_broadcast
+from lexispark.session import fits_broadcast, materialize
 
 PRESETS = ("full", "regex_only", "keep_latex_text")
 
@@ -78,25 +78,22 @@ def normalize_tokens(df: DataFrame, key: str, tokens: str, mapping: DataFrame, m
     A frequent token may make up a large part of all positions.  A dictionary of
     checked size is broadcast; a larger one is joined with the positions of each
     token spread over several tasks.  Documents without a token keep an empty list.
+    Give ``key`` and ``tokens`` only where possible: other columns are joined back.
     """
     if mapping_is_small is None:
         mapping_is_small = fits_broadcast(mapping)
-    positions = df.select(key, F.posexplode(tokens).alias("_pos", "token"))
+    positions = df.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
     mapping = mapping.select("token", "norm")
     if mapping_is_small:
         mapped = positions.join(F.broadcast(mapping), "token", "left")
     else:
         mapped = spread_join(positions, mapping, ["token"], (key, "_pos"))
+    placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("norm", "token").alias("t")))
     rebuilt = (
-        mapped.groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("norm", "token").alias("t")))).alias("_seq"))
-        .select(key, F.col("_seq.t").alias("_normalized"))
-    )
-    return (
-        df.join(rebuilt, key, "left")
-        .withColumn(tokens, F.coalesce("_normalized", F.array().cast("array<string>")))
-        .drop("_normalized")
+        mapped.groupBy(key).agg(F.sort_array(F.collect_list(placed)).alias("_seq"))
+        .select(key, F.col("_seq.t").alias(tokens))
     )
+    return rebuilt if set(df.columns) == {key, tokens} else df.drop(tokens).join(rebuilt, key)
 
 
 def preprocess(df: DataFrame, key: str, col: str, cfg: CleaningConfig = CleaningConfig(use_lemmatization=False),
@@ -107,7 +104,8 @@ def preprocess(df: DataFrame, key: str, col: str, cfg: CleaningConfig = Cleaning
         return clean_text(df, col, cfg, out)
     if not cfg.use_stemming and not cfg.use_lemmatization:
         return df.withColumn(out, T.joined(tokens_column(F.col(col), cfg)))
-    tokenized = tokenize(df, col, cfg, "_tokens")
+    # cleaned once: the distinct tokens and the positions are both taken from the stored lists
+    tokenized = materialize(df.select(key, tokens_column(F.col(col), cfg).alias("_tokens")), "tokens")
     if cfg.use_stemming:
         from lexispark.operators.stemming import stem_mapping
 
@@ -117,4 +115,4 @@ def preprocess(df: DataFrame, key: str, col: str, cfg: CleaningConfig = Cleaning
         if lemmas is None:
             raise ValueError("lemmatisation needs a dictionary table (token, norm)")
         normal = normalize_tokens(tokenized, key, "_tokens", lemmas)
-    return normal.withColumn(out, T.joined(F.col("_tokens"))).drop("_tokens")
+    return df.drop(out).join(normal.select(key, T.joined(F.col("_tokens")).alias(out)), key)

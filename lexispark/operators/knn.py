@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lexispark.functions.arithmetic import l2_normalized
 from lexispark.functions.hashing import seeded_key
-from lexispark.session import materialize
+from lexispark.operators.ranking import spread_join
+from lexispark.session import bounded_broadcast, materialize
 
 BLOCK_ROWS = 1024
 MAX_PIVOTS = 256
@@ -112,7 +113,8 @@ def _block_top(queries: pd.DataFrame, rows: pd.DataFrame, dim: int, k: int) -> p
     return pd.concat(parts, ignore_index=True)
 
 
-def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, dim: int, k: int, block_rows: int) -> DataFrame:
+def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, n_blocks: int, dim: int, k: int,
+                block_rows: int) -> DataFrame:
     """Compare the queries with the training rows of the blocks ``routes(vec, cell, sub)`` sends them to.
 
     Blocks with many queries are split, and their training rows go to every part.
@@ -120,7 +122,7 @@ def _block_join(train: DataFrame, queries: DataFrame, routes: DataFrame, dim: in
     block = ["cell", "sub"]
     load = routes.groupBy(*block).agg(F.ceil(F.count("*") / F.lit(float(block_rows))).cast("int").alias("_parts"))
     asked = (
-        routes.join(load, block)
+        routes.join(bounded_broadcast(load, n_blocks), block)
         .withColumn("part", F.pmod(F.xxhash64("vec"), F.col("_parts")).cast("int"))
         .join(queries, "vec")
         .select(*block, "part", "vec", "idx", "w")
@@ -184,8 +186,9 @@ def _nearest(train: DataFrame, queries: DataFrame, key: str, label: str, dim: in
             yield pd.DataFrame({"vec": pdf["vec"], "cell": cell.astype("int32"), "sub": np.int32(0)})
 
     first_routes = queries.mapInPandas(homes, "vec string, cell int, sub int")
-    first = _block_join(blocks, queries, first_routes, dim, k, block_rows)
-    if sum(subs.values()) <= 1:
+    n_blocks = sum(subs.values())
+    first = _block_join(blocks, queries, first_routes, n_blocks, dim, k, block_rows)
+    if n_blocks <= 1:
         return first
     first = materialize(first, "knn-first")
 
@@ -211,7 +214,7 @@ def _nearest(train: DataFrame, queries: DataFrame, key: str, label: str, dim: in
         .where(~((F.col("cell") == F.col("home")) & (F.col("sub") == 0)))
         .drop("home")
     )
-    later = _block_join(blocks, queries, later_routes, dim, k, block_rows)
+    later = _block_join(blocks, queries, later_routes, n_blocks, dim, k, block_rows)
     return _best(first.drop("rank").unionByName(later.drop("rank")), k)
 
 
@@ -228,7 +231,7 @@ def knn_neighbours(train: DataFrame, test: DataFrame, key: str, label: str, dim:
     """
     near = _nearest(train, _distinct_queries(test), key, label, dim, k, block_rows, seed)
     near = near.withColumnsRenamed({"id": "_id", "label": "_label"})
-    return test.select(key, _vector_key().alias("vec")).join(near, "vec").select(
+    return spread_join(test.select(key, _vector_key().alias("vec")), near, ["vec"], [key], "inner").select(
         key,
         F.col("_id").alias("neighbour"),
         F.col("_label").alias(label),
@@ -263,4 +266,5 @@ def knn_predict(train: DataFrame, test: DataFrame, key: str, label: str, dim: in
     near = _nearest(train, _distinct_queries(test), key, label, dim, k, block_rows, seed)
     near = near.withColumn("distance", F.lit(1.0) - F.col("sim"))
     votes = vote(near, "vec", "label", weighting, out)
-    return test.select(key, *keep, _vector_key().alias("vec")).join(votes, "vec").select(key, *keep, out)
+    asked = test.select(key, *keep, _vector_key().alias("vec"))
+    return spread_join(asked, votes, ["vec"], [key], "inner").select(key, *keep, out)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexispark.functions.arithmetic import weighted_sums
 from lexispark.operators.scoring import linear_scores, predicted
 from lexispark.operators.split import epoch_batches
-from lexispark.session import class_values, materialize, spread
+from lexispark.session import bounded_broadcast, class_values, materialize, spread
 
 # Numbers a model may have; it is broadcast to the tasks for every update.
 MAX_MODEL_CELLS = 50_000_000
@@ -66,15 +66,15 @@ class SgdConfig:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights ``n / (K * n_c)``, one row per class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    n = df.agg(F.count("*")).scalar()
-    k = df.agg(F.countDistinct(label)).scalar()
+    n, k = counts.agg(F.sum("n")).scalar(), counts.agg(F.count("*")).scalar()
     return counts.withColumn("class_weight", n.cast("double") / (k * F.col("n")))
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
     """Rows with the balanced weight of their class."""
+    classes = class_values(df, label)
     weights = class_weights(df, label).select(label, F.col("class_weight").alias(out))
-    return df.join(weights, label)
+    return df.join(bounded_broadcast(weights, len(classes)), label)
 
 
 def binary_class_weights(df: DataFrame, positive: str) -> DataFrame:

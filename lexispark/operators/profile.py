@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexispark.functions.hashing import seeded_key
 from lexispark.functions.text import word_count
-from lexispark.session import bounded_broadcast
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -43,7 +42,7 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     The total comes from the counted labels, so the table is read once.
     """
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("percent", F.round(F.col("n") * 100.0 / total, 2)).orderBy(label)
 
 
@@ -55,7 +54,7 @@ def with_taxonomy(df: DataFrame, taxonomy: DataFrame, label: str) -> DataFrame:
 def top_labels(df: DataFrame, label: str, taxonomy: DataFrame, n: int = 20, unknown: str = "Unknown") -> DataFrame:
     """The ``n`` most frequent labels with their category and percent."""
     top = class_distribution(df, label).orderBy(F.desc("n"), label).limit(n)
-    named = with_taxonomy(bounded_broadcast(top, n), taxonomy.select(label, "category"), label)
+    named = with_taxonomy(top, taxonomy.select(label, "category"), label)
     return named.withColumn("category", F.coalesce("category", F.lit(unknown))).orderBy(F.desc("n"), label)
 
 

@@ -16,13 +16,15 @@ def seeded_rank(
     by: Sequence[str] = (),
     out: str = "rank",
     digits: int = 3,
+    per_group: DataFrame | None = None,
 ) -> DataFrame:
     """Rank (from 1) of every row in the seeded random order of ``key`` within ``by``.
 
     The hash is uniform, so its first hex digits cut each group, however large,
     into ``16 ** digits`` even ranges.  A row's rank is its place in its range plus
     the size of the ranges before it; only those sizes are ever summed in one place.
-    ``key`` must be unique.
+    ``key`` must be unique.  Columns of ``per_group(by..., ...)`` are added on the way: they are joined
+    to the range sizes, so that no row is shuffled by its group alone.
     """
     by = list(by)
     hashed = df.withColumn("_h", seeded_key(seed, key)).withColumn("_range", hex_prefix(F.col("_h"), digits))
@@ -33,6 +35,8 @@ def seeded_rank(
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
+    if per_group is not None:
+        offsets = offsets.join(per_group, by)
     within = Window.partitionBy(*by, "_range").orderBy("_h", key)
     return (
         hashed.withColumn("_rn", F.row_number().over(within))
@@ -72,6 +76,12 @@ def top_k(
     )
 
 
+def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_on: Sequence[str], fits: bool
+                ) -> DataFrame:
+    """Inner join that broadcasts ``small`` if its checked size allows, and spreads hot keys otherwise."""
+    return big.join(F.broadcast(small), list(keys)) if fits else spread_join(big, small, keys, spread_on, "inner")
+
+
 def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_on: Sequence[str], how: str = "left",
                 salts: int = 16) -> DataFrame:
     """Equi-join in which one key of ``big`` may hold a large part of all rows.

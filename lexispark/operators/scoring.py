@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.functions.arithmetic import argmax, literal_array, weighted_sums
-from lexispark.session import bounded_broadcast
+from lexispark.operators.ranking import lookup_join
+from lexispark.session import BROADCAST_CELLS
 
 
 def linear_scores(docs: DataFrame, weights: DataFrame, theta: DataFrame, key: str, n_classes: int,
@@ -19,7 +20,8 @@ def linear_scores(docs: DataFrame, weights: DataFrame, theta: DataFrame, key: st
     term adds to all classes at once.  A document without a known term gets the bias.
     """
     summed = (
-        weights.join(bounded_broadcast(theta.select(feature, "theta"), max_terms), feature)
+        lookup_join(weights, theta.select(feature, "theta"), [feature], [key],
+                    max_terms is not None and max_terms * n_classes <= BROADCAST_CELLS)
         .groupBy(key)
         .agg(weighted_sums(F.col("w"), F.col("theta"), n_classes).alias("_sum"))
     )

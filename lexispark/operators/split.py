@@ -31,8 +31,8 @@ def stratified_holdout(df: DataFrame, key: str, label: str, fraction: float, see
             Window.orderBy(F.round(F.col("_exact") - F.col("_whole"), 9).desc(), label)))
         .select(label, (F.col("_whole") + (F.col("_turn") <= F.col("_left")).cast("int")).alias("_quota"))
     )
-    ranked = seeded_rank(df, key, seed, [label], "_rank")
-    return ranked.join(quota, label).withColumn(out, F.col("_rank") <= F.col("_quota")).drop("_rank", "_quota")
+    ranked = seeded_rank(df, key, seed, [label], "_rank", per_group=quota)
+    return ranked.withColumn(out, F.col("_rank") <= F.col("_quota")).drop("_rank", "_quota")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int, out: str = "fold") -> DataFrame:
@@ -47,8 +47,8 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int, out
         F.coalesce(F.sum("_n").over(Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_offset"),
     )
-    ranked = seeded_rank(df, key, seed, [label], "_rank")
-    return ranked.join(offsets, label).withColumn(
+    ranked = seeded_rank(df, key, seed, [label], "_rank", per_group=offsets)
+    return ranked.withColumn(
         out, ((F.col("_offset") + F.col("_rank") - 1) % k).cast("int")
     ).drop("_rank", "_offset")
 
@@ -79,7 +79,7 @@ def nested_subsample(df: DataFrame, key: str, label: str, fold: str, share: floa
     if not 0 < share <= 1:
         raise ValueError("share must be over 0 and at most 1")
     size = df.groupBy(fold, label).agg(F.count("*").alias("_n"))
-    ranked = seeded_rank(df, key, seed, [fold, label], "_rank")
-    return ranked.join(size, [fold, label]).where(
+    ranked = seeded_rank(df, key, seed, [fold, label], "_rank", per_group=size)
+    return ranked.where(
         F.col("_rank") <= F.ceil(F.round(F.col("_n") * F.lit(float(share)), 9))
     ).drop("_rank", "_n")

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexispark.functions import text as T
-from lexispark.operators.ranking import top_k
-from lexispark.session import bounded_broadcast
+from lexispark.operators.ranking import lookup_join, top_k
+from lexispark.session import BROADCAST_ROWS
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,9 @@ def term_weight(tf: Column, idf: Column, sublinear: Column | bool = True) -> Col
 def raw_weights(counts: DataFrame, vocab: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
     """Weights before the row norm; terms outside the vocabulary are dropped."""
     side = vocab.select("term", "idf", *[c for c in ("rank",) if c in vocab.columns])
-    joined = counts.join(bounded_broadcast(side, cfg.max_features), "term")
+    key = counts.columns[0]
+    joined = lookup_join(counts, side, ["term"], [key],
+                         cfg.max_features is not None and cfg.max_features <= BROADCAST_ROWS)
     return joined.withColumn("raw", term_weight(F.col("tf"), F.col("idf"), cfg.sublinear_tf))
 
 

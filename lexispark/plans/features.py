@@ -20,9 +20,7 @@ class TextFeatures:
     """Tables shared by fitting and scoring, stored once in the shared folder.
 
     ``docs(key, label, is_train)``, ``counts(key, is_train, term, tf)``,
-    ``vocab(term, df, cf, rank, idf)`` and ``weights(key, label, is_train, rank, w)``.
-    All but the vocabulary are partitioned by ``is_train``, so fitting reads no test rows.
-    """
+    ``vocab(term, df, cf, rank, idf)`` and ``weights(key, label, is_train, rank, w)``.    """
 
     key: str
     label: str
@@ -72,11 +70,11 @@ def text_features(train: DataFrame, test: DataFrame, key: str, text: str, label:
     truth = F.col(label) if label in test.columns else F.lit(None)
     both = train.select(key, text, label, F.lit(True).alias(IS_TRAIN)).unionByName(
         test.select(key, text, truth.cast(kind).alias(label), F.lit(False).alias(IS_TRAIN)))
-    docs = materialize(both.select(key, label, IS_TRAIN), "docs", (IS_TRAIN,))
+    docs = materialize(both.select(key, label, IS_TRAIN), "docs")
     placed = by_document(both, key)
     if cleaning is not None:
         placed = preprocess(placed, key, text, cleaning, out=text)
-    counts = materialize(term_counts(placed, key, text, cfg, (label, IS_TRAIN)), "counts", (IS_TRAIN,))
+    counts = materialize(term_counts(placed, key, text, cfg, (label, IS_TRAIN)), "counts")
     vocab = materialize(fit_vocabulary(docs.where(IS_TRAIN), counts.where(IS_TRAIN), cfg), "vocabulary")
     weights = tfidf(counts, vocab, key, cfg, (IS_TRAIN,)).select(key, label, IS_TRAIN, "rank", "w")
-    return TextFeatures(key, label, cfg, docs, counts, vocab, materialize(weights, "weights", (IS_TRAIN,)))
+    return TextFeatures(key, label, cfg, docs, counts, vocab, materialize(weights, "weights"))

@@ -66,7 +66,7 @@ def nearest_neighbours_by_size(f: TextFeatures, sizes: Sequence[int], k: int = 2
     swept = materialize(
         feature_size_sweep(f.counts, f.vocab, f.key, sizes, f.cfg, (IS_TRAIN,)).select(
             "size", f.key, IS_TRAIN, "rank", "w"),
-        "sweep", ("size", IS_TRAIN))
+        "sweep", ("size",))
     parts = []
     for size in sizes:
         at = swept.where(F.col("size") == size)
@@ -106,4 +106,4 @@ def with_max_features(f: TextFeatures, size: int) -> TextFeatures:
     vocab = f.vocab.where(F.col("rank") <= size)
     cfg = replace(f.cfg, max_features=size)
     weights = tfidf(f.counts, vocab, f.key, cfg, (IS_TRAIN,)).select(f.key, f.label, IS_TRAIN, "rank", "w")
-    return replace(f, cfg=cfg, vocab=vocab, weights=materialize(weights, "weights", (IS_TRAIN,)))
+    return replace(f, cfg=cfg, vocab=vocab, weights=materialize(weights, "weights"))

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # (well under 200 bytes), so the hash table stays below about 100 MB.
 BROADCAST_ROWS = 500_000
 
+# The same for rows that carry one number per class.
+BROADCAST_CELLS = 10_000_000
+
 # Classes are turned into array positions, so their number has to be bounded.
 MAX_CLASSES = 10_000
 
