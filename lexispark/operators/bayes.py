@@ -43,7 +43,8 @@ def complement_weights(sums: DataFrame, n_classes: int, alpha, norm, by: Sequenc
         total, logs, terms = F.col("_sum"), F.col("_logs"), F.col("_terms")
     else:
         joined = shares
-        total, logs, terms = (totals.select(c).scalar() for c in ("_sum", "_logs", "_terms"))
+        one_row = totals.select(F.struct("_sum", "_logs", "_terms")).scalar()
+        total, logs, terms = one_row["_sum"], one_row["_logs"], one_row["_terms"]
     logged = [F.log(F.col("_rest")[c] / total[c]) for c in range(n_classes)]
     summed = [logs[c] - terms * F.log(total[c]) for c in range(n_classes)]
     theta = F.array(*[

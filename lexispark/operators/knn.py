@@ -26,6 +26,8 @@ from lexispark.session import bounded_broadcast, materialize
 
 BLOCK_ROWS = 1024
 MAX_PIVOTS = 256
+# Numbers in the dense form of one block, or of all pivots; wide vectors get smaller blocks.
+MAX_DENSE_CELLS = 16_000_000
 SIM_DIGITS = 9
 ZERO_DISTANCE = 1e-9
 # Slack for the bounds; it covers the rounding of similarities and of the angles.
@@ -58,6 +60,15 @@ def _matrix(idx: pd.Series, w: pd.Series, dim: int) -> np.ndarray:
     return out
 
 
+def _pivot_sims(rows: pd.DataFrame, pivots: np.ndarray) -> np.ndarray:
+    """Similarity of each row to each pivot, without a dense form of the rows."""
+    out = np.zeros((len(rows), len(pivots)))
+    for i, (idx, w) in enumerate(zip(rows["idx"], rows["w"])):
+        if len(idx):
+            out[i] = pivots[:, idx] @ w
+    return out
+
+
 def _distinct_train(train: DataFrame, key: str, label: str, k: int) -> DataFrame:
     """One row per vector with the ``labels`` and ``ids`` of its first ``k`` rows."""
     first = Window.partitionBy("vec").orderBy(label, key)
@@ -75,7 +86,7 @@ def _distinct_train(train: DataFrame, key: str, label: str, k: int) -> DataFrame
     )
 
 
-def _cells(train: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
+def _cells(train: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Nearest pivot of each training vector and the angle to it."""
     schema = T.StructType([*train.schema.fields, T.StructField("cell", T.IntegerType()),
                            T.StructField("angle", T.DoubleType())])
@@ -84,7 +95,7 @@ def _cells(train: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
         for pdf in batches:
             empty = (pdf["idx"].map(len) == 0).to_numpy()
             if len(pivots):
-                sims = _matrix(pdf["idx"], pdf["w"], dim) @ pivots.T
+                sims = _pivot_sims(pdf, pivots)
                 cell, best = sims.argmax(axis=1), sims.max(axis=1)
             else:
                 cell, best = np.zeros(len(pdf), int), np.zeros(len(pdf))
@@ -160,14 +171,15 @@ def _nearest(train: DataFrame, queries: DataFrame, key: str, label: str, dim: in
     if k < 1:
         raise ValueError("k must be positive")
     distinct = materialize(_distinct_train(train, key, label, k), "knn-train")
-    n_pivots = min(MAX_PIVOTS, ceil(distinct.count() / block_rows))
+    block_rows = max(1, min(block_rows, MAX_DENSE_CELLS // dim))
+    n_pivots = max(1, min(MAX_PIVOTS, MAX_DENSE_CELLS // dim, ceil(distinct.count() / block_rows)))
     chosen = (
         distinct.where(F.size("idx") > 0).orderBy(seeded_key(seed, "vec")).limit(n_pivots).select("idx", "w")
         .toArrow().to_pandas()
     )
     pivots = _matrix(chosen["idx"], chosen["w"], dim)
 
-    celled = materialize(_cells(distinct, pivots, dim), "knn-cells")
+    celled = materialize(_cells(distinct, pivots), "knn-cells")
     stats = {r["cell"]: r for r in celled.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("angle").alias("radius")).collect()}
     subs = {c: ceil(r["n"] / block_rows) for c, r in stats.items()}
@@ -182,7 +194,7 @@ def _nearest(train: DataFrame, queries: DataFrame, key: str, label: str, dim: in
 
     def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            cell = nearest_cell(_matrix(pdf["idx"], pdf["w"], dim) @ centres.T)
+            cell = nearest_cell(_pivot_sims(pdf, centres))
             yield pd.DataFrame({"vec": pdf["vec"], "cell": cell.astype("int32"), "sub": np.int32(0)})
 
     first_routes = queries.mapInPandas(homes, "vec string, cell int, sub int")
@@ -194,7 +206,7 @@ def _nearest(train: DataFrame, queries: DataFrame, key: str, label: str, dim: in
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sims = _matrix(pdf["idx"], pdf["w"], dim) @ centres.T
+            sims = _pivot_sims(pdf, centres)
             kth = pdf["kth"].to_numpy()
             closest = np.cos(np.maximum(0.0, np.arccos(np.clip(sims, -1.0, 1.0)) - radius))
             reach = closest >= kth[:, None] - SLACK

@@ -106,11 +106,9 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Equal-width histogram; every bin is half open but the last one, empty bins are kept."""
     x = F.col(column).cast("double")
-    bounds = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    )
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    pad = F.when(F.min(x) == F.max(x), F.lit(0.5)).otherwise(F.lit(0.0))
+    bounds = df.agg(F.struct((F.min(x) - pad).alias("lo"), (F.max(x) + pad).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     place = F.least(F.floor((x - lo) / ((hi - lo) / bins)), F.lit(bins - 1))
     counted = df.where(x.isNotNull()).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
     return (

@@ -23,7 +23,8 @@ def seeded_rank(
     The hash is uniform, so its first hex digits cut each group, however large,
     into ``16 ** digits`` even ranges.  A row's rank is its place in its range plus
     the size of the ranges before it; only those sizes are ever summed in one place.
-    ``key`` must be unique.  Columns of ``per_group(by..., ...)`` are added on the way: they are joined
+    ``key`` must be unique.  ``df`` is read twice, so give it the key and group columns only and join the
+    result where texts or vectors are needed.  Columns of ``per_group(by..., ...)`` are added on the way: they are joined
     to the range sizes, so that no row is shuffled by its group alone.
     """
     by = list(by)
@@ -53,27 +54,24 @@ def top_k(
     spread_on: str,
     by: Sequence[str] = (),
     out: str = "rank",
-    spread: int = 64,
+    slices: Sequence[int] = (1024, 32),
 ) -> DataFrame:
     """The first ``k`` rows of each group with their rank, exactly.
 
-    The members of the overall top ``k`` are in the top ``k`` of their hash slice,
-    so the last step sees at most ``spread * k`` rows per group.
+    The members of the overall top ``k`` are in the top ``k`` of their hash slice.  The slices get
+    fewer from step to step, so that the last step, one task per group, sees at most
+    ``slices[-1] * k`` rows, however many rows and tasks there were.
     """
     by = list(by)
-    if not by:
-        first = df.orderBy(*order).limit(k)
-        return first.withColumn(out, F.row_number().over(Window.orderBy(*order)))
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(spread_on), F.lit(spread)))
-    local = Window.partitionBy(*by, "_slice").orderBy(*order)
-    final = Window.partitionBy(*by).orderBy(*order)
-    return (
-        sliced.withColumn("_local", F.row_number().over(local))
-        .where(F.col("_local") <= k)
-        .drop("_local", "_slice")
-        .withColumn(out, F.row_number().over(final))
-        .where(F.col(out) <= k)
-    )
+    for n in slices:
+        local = Window.partitionBy(*by, "_slice").orderBy(*order)
+        df = (
+            df.withColumn("_slice", F.pmod(F.xxhash64(spread_on), F.lit(n)))
+            .withColumn("_local", F.row_number().over(local))
+            .where(F.col("_local") <= k)
+            .drop("_local", "_slice")
+        )
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(out) <= k)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_on: Sequence[str], fits: bool

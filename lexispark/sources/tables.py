@@ -65,6 +65,11 @@ def load_train_test(spark: SparkSession, root: str, sep: str = "\t") -> tuple[Da
     )
 
 
+def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """``(label_id, category)``; other columns of the file are not read."""
+    return read_delimited(spark, path, TAXONOMY_SCHEMA)
+
+
 def read_keyed_text(spark: SparkSession, path: str, key: str = "id", text: str = "abstract") -> DataFrame:
     """Comma-separated text table; missing text counts as empty.  The key stays, so that text,
     labels and ids can be joined and never depend on row positions."""

@@ -64,7 +64,7 @@ def test_sweep_equals_single_fits(spark, small):
 def test_top_k_is_exact(spark):
     df = spark.range(5000).select((F.col("id") % 3).alias("g"), "id", (F.col("id") * 7919 % 1009).alias("x"))
     order = [F.desc("x"), F.asc("id")]
-    got = {(r.g, r.id, r["rank"]) for r in top_k(df, 40, order, "id", ["g"], spread=8).collect()}
+    got = {(r.g, r.id, r["rank"]) for r in top_k(df, 40, order, "id", ["g"], slices=(16, 4)).collect()}
     want = set()
     for g in range(3):
         rows = sorted(((-(i * 7919 % 1009), i) for i in range(g, 5000, 3)))[:40]

@@ -32,6 +32,14 @@ def test_missing_files_and_columns(spark, raw):
         tables.read_delimited(spark, f"{root}/train.csv", tables.TRAIN_SCHEMA)
 
 
+def test_taxonomy_ignores_other_columns(spark):
+    path = new_path(spark, "x")
+    wide = spark.createDataFrame([("note", "math", 3)], "remark string, category string, label_id long")
+    sinks.write_delimited(wide, path, "\t")
+    got = tables.read_taxonomy(spark, path)
+    assert got.dtypes == [("label_id", "bigint"), ("category", "string")] and tuple(got.first()) == (3, "math")
+
+
 def test_cache_follows_configuration(spark, raw):
     path = new_path(spark, "c")
     full = CleaningConfig(use_lemmatization=False)
