@@ -99,24 +99,25 @@ def group_pairs(starts: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.nda
         a = b
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links that span the same components as the links (i, j) among ``n`` members, fewer than ``n`` of them.
 
-    In each round every component takes its first link to another one (Boruvka's rounds).
+    In each round every component takes its first link to another one (Boruvka's rounds), so among links sorted by
+    distance the shortest are taken.  Also returns the positions of those links.
     """
-    label, kept_i, kept_j = np.arange(n), [i[:0]], [j[:0]]
-    while len(i):
-        a, b = label[i], label[j]
+    label, at = np.arange(n), np.arange(len(i))
+    kept = [at[:0]]
+    while len(at):
+        a, b = label[i[at]], label[j[at]]
         cross = a != b
-        i, j, a, b = i[cross], j[cross], a[cross], b[cross]
-        if not len(i):
+        at, a, b = at[cross], a[cross], b[cross]
+        if not len(at):
             break
-        pick, order = np.full(n, len(i)), np.arange(len(i))
+        pick, order = np.full(n, len(at)), np.arange(len(at))
         np.minimum.at(pick, a, order)
         np.minimum.at(pick, b, order)
-        e = np.unique(pick[pick < len(i)])
-        kept_i.append(i[e])
-        kept_j.append(j[e])
+        e = np.unique(pick[pick < len(at)])
+        kept.append(at[e])
         root = np.arange(n)
         while True:
             low = np.minimum(root[a[e]], root[b[e]])
@@ -126,7 +127,8 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray
             if (root[a[e]] == root[b[e]]).all():
                 break
         label = root[label]
-    return np.concatenate(kept_i), np.concatenate(kept_j)
+    at = np.concatenate(kept)
+    return i[at], j[at], at
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -138,8 +138,8 @@ def ring_links(nodes: DataFrame, max_bits: int = NARROW_BITS, block: int = BLOCK
             ok = _chain(_rotl(turned & np.uint64((1 << 48) - 1), 12 * (t % 4), 48), 12, 48, max_bits)
             i, j, x = i[ok], j[ok], x[ok]
             ok = _ones(x) <= max_bits
-            found.append(forest(n, i[ok], j[ok]))
-        i, j = forest(n, *(np.concatenate(f) for f in zip(*found)))
+            found.append(forest(n, i[ok], j[ok])[:2])
+        i, j, _ = forest(n, *(np.concatenate(f) for f in zip(*found)))
         s = v.view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(s[i]), pa.array(s[j])], ["a", "b"])
 
@@ -195,17 +195,17 @@ def wide_links(nodes: DataFrame, lanes: int, max_bits: int, block: int = BLOCK)
         tail = batch.column("tail").to_numpy().view(np.uint64)
         node, own = batch.column("node").to_numpy(), batch.column("own").to_numpy()
         diagonal = batch.column("lo").to_numpy() == batch.column("hi").to_numpy()
-        found = [(np.zeros(0, dtype=np.int64),) * 2]
+        found = [(np.zeros(0, dtype=np.int64),) * 3]
         for i, j in group_pairs(starts, n):
             use = diagonal[i] | (own[i] != own[j])
             i, j = i[use], j[use]
-            x, seen = tail[i] ^ tail[j], 0
+            x, seen = tail[i] ^ tail[j], np.zeros(len(i), dtype=np.int64)
             for length in range(2, 6):
                 seen = seen + _ones((x >> np.uint64(80 - 16 * length)) & np.uint64(0xFFFF))
                 ok = seen <= length * budget
                 i, j, x, seen = i[ok], j[ok], x[ok], seen[ok]
-            found.append(forest(n, i, j))
-        i, j = forest(n, *(np.concatenate(f) for f in zip(*found)))
+            found.append(_closest(n, i, j, seen))
+        i, j, _ = _closest(n, *(np.concatenate(f) for f in zip(*found)))
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j]))], ["a", "b"])
 
     pairs = scan_groups(rows, ["bucket", "lo", "hi"], candidates, "a long, b long").where("a <> b").distinct()
@@ -213,22 +213,55 @@ def wide_links(nodes: DataFrame, lanes: int, max_bits: int, block: int = BLOCK)
     pairs = pairs.join(side.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a")
     pairs = pairs.join(side.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
     apart = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, d: s + d)
-    return pairs.where(apart <= max_bits).select("a", "b")
+    return pairs.select("a", "b", apart.alias("apart")).where(F.col("apart") <= max_bits)
+
+
+def _closest(n: int, i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spanning forest of the shortest links, with their distances."""
+    order = np.argsort(apart, kind="stable")
+    i, j, apart = i[order], j[order], apart[order]
+    a, b, at = forest(n, i, j)
+    return a, b, apart[at]
+
+
+def _jaccard(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets of word shingles have at least this similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                p, q = (np.unique(shingle_hashes(t.as_py() or "", words)) for t in (x, y))
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(shared >= similarity * (len(p) + len(q) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
+
+    pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
+    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 16) -> DataFrame:
     """``id`` and ``component`` of every row, for word-shingle similarities from ``similarity`` up.
 
     Two sets of Jaccard similarity s have the cosine 2s / (1 + s), and a SimHash bit differs with the probability
-    angle / pi.  Texts link if their distance over ``64 * lanes`` bits is at most what ``similarity`` gives plus one
-    standard deviation.  Rows with a null id keep a null component; other cases are as in ``near_duplicates``.
+    angle / pi.  Over ``64 * lanes`` bits, distances three standard deviations below what ``similarity`` gives link at
+    once, those up to three above link if the shingle sets have that similarity, and others don't.  ``id`` names a
+    text: of repeated ids with different texts the first in order is compared.  Rows with a null id are not compared
+    and keep a null component; other cases are as in ``near_duplicates``.
     """
     total = 64 * lanes
     differs = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    max_bits = int(total * differs + (total * differs * (1 - differs)) ** 0.5)
-    marked = materialize(fingerprints(docs, id_col, text_col, words, lanes), "wide-fingerprints")
+    middle, deviation = total * differs, (total * differs * (1 - differs)) ** 0.5
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    marked = materialize(fingerprints(rows, "id", "text", words, lanes), "wide-fingerprints")
     nodes = materialize(marked.where("id is not null").groupBy("bits").agg(F.min("id").alias("node")), "wide-nodes")
-    linked = connected_components(wide_links(nodes, lanes, max_bits))
+    links = materialize(wide_links(nodes, lanes, int(middle + 3 * deviation)), "wide-links")
+    sure = F.col("apart") <= middle - 3 * deviation
+    open_links = links.where(~sure).select("a", "b")
+    asked = open_links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = rows.join(asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    links = links.where(sure).select("a", "b").unionByName(_jaccard(open_links, texts, words, similarity))
+    linked = connected_components(links)
     named = nodes.join(linked, "node", "left").select("bits", F.coalesce("component", "node").alias("component"))
-    # null ids never match a component of their own, so they keep null
     return marked.join(named, "bits", "left").select("id", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))

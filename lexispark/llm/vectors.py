@@ -89,8 +89,8 @@ def _links(keyed: DataFrame, least_cosine: float, block: int) -> DataFrame:
                 i, j = i[new], j[new]
                 np.add.at(added, i, n[j])
                 np.add.at(added, j, n[i])
-                found.append(forest(size, i, j))
-        i, j = forest(size, *(np.concatenate(f) for f in zip(*found)))
+                found.append(forest(size, i, j)[:2])
+        i, j, _ = forest(size, *(np.concatenate(f) for f in zip(*found)))
         some = np.flatnonzero(added)
         return pa.RecordBatch.from_arrays(
             [
