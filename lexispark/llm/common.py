@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lexispark.session import fits_broadcast, materialize
 
@@ -27,6 +27,11 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def result_schema(rows: DataFrame, computed: str, carried: Iterable[str]) -> T.StructType:
+    """``id`` as in ``rows``, the computed columns, and the carried ones as in ``rows``."""
+    return T.StructType([rows.schema["id"], *T.StructType.fromDDL(computed), *(rows.schema[c] for c in carried)])
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
     """For work that is heavy per byte: a table of fewer splits than there are cores is dealt out evenly."""
     cores = df.sparkSession.sparkContext.defaultParallelism

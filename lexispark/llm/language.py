@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexispark.llm.common import spread_scan, texts_of
+from lexispark.llm.common import result_schema, spread_scan, texts_of
 from lexispark.session import materialize
 
 BUCKETS = 1 << 15
@@ -189,6 +189,4 @@ def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str =
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(c.alias(n) for n, c in carried.items()))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    more = "".join(f", {n} {kinds[n]}" for n in carried)
-    return spread_scan(rows).mapInArrow(run, f"id {kinds['id']}, lang_pred string, score double, languages array<string>, proportions array<double>{more}")
+    return spread_scan(rows).mapInArrow(run, result_schema(rows, "lang_pred string, score double, languages array<string>, proportions array<double>", carried))

@@ -17,13 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexispark.llm.common import crc_fold, spread_scan, texts_of
+from lexispark.llm.common import crc_fold, result_schema, spread_scan, texts_of
 
 #: Bounds of the training sample: trusted positives and unlabelled texts.
-POSITIVES, UNLABELLED = 6000, 12_000
+POSITIVES, UNLABELLED = 4000, 8000
 BINS = 10
-STEPS = 800
-RATE = 0.05
+STEPS = 400
+RATE = 0.1
 RIDGE = 1e-4
 CONFIDENCE = 0.1
 _MARKS = np.frombuffer(string.punctuation.encode(), dtype=np.uint8)
@@ -77,33 +77,46 @@ def _descend(gradient, size: int) -> np.ndarray:
     return w
 
 
-def _design(rows: np.ndarray, size: int) -> np.ndarray:
-    """One column for each bin, and a last one that is always 1."""
-    out = np.zeros((len(rows), size + 1), dtype=np.float32)
-    np.put_along_axis(out, rows, 1, axis=1)
-    out[:, -1] = 1
-    return out
+class Design:
+    """Rows of a matrix of zeros and ones: the bins that are one, and a last column that always is."""
+
+    def __init__(self, rows: np.ndarray, size: int):
+        self.rows = np.hstack([rows, np.full((len(rows), 1), size)])
+        self.shape = (len(rows), size + 1)
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def every_second(self, first: int) -> Design:
+        return Design(self.rows[first::2, :-1], self.shape[1] - 1)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return w[self.rows].sum(1)
+
+    def mean(self, v: np.ndarray) -> np.ndarray:
+        """Mean over rows of each row times its value."""
+        return np.bincount(self.rows.ravel(), np.repeat(v, self.rows.shape[1]), self.shape[1]) / len(self)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def class_prior(p: np.ndarray, u: np.ndarray) -> float:
+def class_prior(p: Design, u: Design) -> float:
     """Share of positives among unlabelled rows, from held-back halves of both.
 
     A classifier is fitted on one half; on the other the ratio of the shares above each threshold is bounded from
     above, and the estimate is the ratio where that bound is least.
     """
-    fit_p, fit_u = p[::2], u[::2]
+    if len(p) < 2 or len(u) < 2:
+        return 0.5
+    fit_p, fit_u = p.every_second(0), u.every_second(0)
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        return fit_u.T @ _sigmoid(fit_u @ w) / len(fit_u) - fit_p.T @ _sigmoid(-(fit_p @ w)) / len(fit_p) + 2 * RIDGE * w
+        return fit_u.mean(_sigmoid(fit_u.times(w))) - fit_p.mean(_sigmoid(-fit_p.times(w))) + 2 * RIDGE * w
 
     w = _descend(gradient, p.shape[1])
-    at_p, at_u = np.sort(p[1::2] @ w), np.sort(u[1::2] @ w)
-    if not len(at_p) or not len(at_u):
-        return 0.5
+    at_p, at_u = np.sort(p.every_second(1).times(w)), np.sort(u.every_second(1).times(w))
     levels = np.unique(at_p)
     above_p = 1 - np.searchsorted(at_p, levels, side="left") / len(at_p)
     above_u = 1 - np.searchsorted(at_u, levels, side="left") / len(at_u)
@@ -124,15 +137,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     scorer = Scorer(edges, np.zeros(size), 0.0, prior or 0.5)
     if not len(positive) or not len(unlabelled):
         return scorer
-    p, u = _design(scorer.rows(positive), size), _design(scorer.rows(unlabelled), size)
+    p, u = Design(scorer.rows(positive), size), Design(scorer.rows(unlabelled), size)
     prior = class_prior(p, u) if prior is None else prior
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        fp, fu = p @ w, u @ w
-        as_positive = -prior * (p.T @ _sigmoid(-fp)) / len(p)
+        fp, fu = p.times(w), u.times(w)
+        as_positive = -prior * p.mean(_sigmoid(-fp))
         negative = np.logaddexp(0, fu).mean()
         p_risk = prior * np.logaddexp(0, fp).mean()
-        of_negative = u.T @ _sigmoid(fu) / len(u) - prior * (p.T @ _sigmoid(fp)) / len(p)
+        of_negative = u.mean(_sigmoid(fu)) - prior * p.mean(_sigmoid(fp))
         ridge = 2 * RIDGE * w
         # below zero the negatives are fitted beyond what they can be: step back
         return (as_positive + of_negative if negative >= p_risk else -of_negative) + ridge
@@ -172,13 +185,12 @@ def scores(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: st
     Repeated rows stay; other columns are ignored but those in ``carried``, columns of ``docs`` under new names.
     """
     carried = carried or {}
+    names = ["id", "score", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t) for t in texts_of(batch.column(1))]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.score(x)), *batch.columns[2:]], ["id", "score", *carried])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.score(x)), *batch.columns[2:]], names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(c.alias(n) for n, c in carried.items()))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    more = "".join(f", {n} {kinds[n]}" for n in carried)
-    return spread_scan(rows).mapInArrow(run, f"id {kinds['id']}, score double{more}")
+    return spread_scan(rows).mapInArrow(run, result_schema(rows, "score double", carried))

@@ -6,8 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexispark.llm import pii, simhash, tokens, vectors
-from lexispark.llm.common import table
+from lexispark.llm import decontaminate, extraction, language, mixing, pii, quality, simhash, stages, tokens, toxicity, vectors
+from lexispark.llm.common import crc_fold, table
+
+#: The fold, of 4, that languages and quality are not learnt from.
+HELD_OUT = 2
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    langs, logs = language.fit(docs.where(crc_fold("doc_id", 4) != HELD_OUT))
+    found = language.identify(docs, langs, logs, carried={"held_out": crc_fold("doc_id", 4) == HELD_OUT})
+    return found.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score", "languages", "proportions")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +25,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = mixing.soft_mix(docs, stages.labelled_domains(spark, docs, sf_dir), stages.SHARES)
+    return found.drop("text", "lang")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scorer = quality.train(docs, table(spark, sf_dir, "labels"), HELD_OUT, 4)
+    found = quality.scores(docs, scorer, carried={"held_out": crc_fold("doc_id", 4) == HELD_OUT})
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
@@ -32,10 +55,25 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts, toxic = toxicity.training_sample(docs, table(spark, sf_dir, "labels"), 0, stages.TOXIC_FOLDS)
+    held_out = crc_fold("doc_id", stages.TOXIC_FOLDS) == 0
+    found = toxicity.scores(docs, toxicity.train(texts, toxic), carried={"held_out": held_out})
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= stages.TOXIC).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_simhash": op2_simhash,
-        "op5_embedding_dedup": op5_embedding_dedup,
-        "op6_token_counts": op6_token_counts,
-        "op7_pii": op7_pii,
-    }
+    found = (
+        op1_language, op2_simhash, op3_mixing, op4_quality, op5_embedding_dedup, op6_token_counts, op7_pii, op8_decontamination, op9_html_text, op10_toxicity
+    )
+    return {f.__name__: f for f in found}

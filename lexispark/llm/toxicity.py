@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lexispark.llm.common import crc_fold, spread_scan, texts_of
+from lexispark.llm.common import crc_fold, result_schema, spread_scan, texts_of
 
 WINDOW, STRIDE = 32, 24
 WORDS = CHARS = 1 << 14
@@ -314,6 +314,7 @@ def scores(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
     those in ``carried``, columns of ``docs`` under new names.
     """
     carried = carried or {}
+    names = ["id", "score", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(network)
@@ -322,9 +323,7 @@ def scores(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
             sizes = np.cumsum([len(t) for t in texts])
             found = [text_scores([texts[k] for k in at], words) for at in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes >> 20)) + 1) if len(at)]
             score = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), *batch.columns[2:]], ["id", "score", *carried])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), *batch.columns[2:]], names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(c.alias(n) for n, c in carried.items()))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    more = "".join(f", {n} {kinds[n]}" for n in carried)
-    return spread_scan(rows).mapInArrow(run, f"id {kinds['id']}, score double{more}")
+    return spread_scan(rows).mapInArrow(run, result_schema(rows, "score double", carried))
