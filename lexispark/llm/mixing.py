@@ -26,6 +26,8 @@ STEPS = 30
 ENOUGH = 1e-7
 RIDGE = 1e-9
 MAX_DOMAINS = 500
+#: Rows with their posteriors that may be sent to all tasks.
+SENT_ROWS = 20_000
 
 
 def _words(text: Column) -> Column:
@@ -155,6 +157,6 @@ def soft_mix(
         "rate", (F.floor("rate") + F.when(chance < spare, 1).otherwise(0)).cast("long").alias("copies"),
     )
     new = [c for c in rated.columns if c != "_key"]
-    side = F.broadcast(rated) if fits_broadcast(stored) else rated
+    side = F.broadcast(rated) if fits_broadcast(stored, SENT_ROWS) else rated
     old = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in new), row_key(id_col, text_col).alias("_key"))
     return old.join(side, "_key").drop("_key")

@@ -34,6 +34,9 @@ RATE = 0.01
 #: Words of which a worker remembers the input; beyond it begins anew.
 REMEMBERED = 300_000
 
+#: Words or pairs taken at once where each has many letter groups.
+AT_ONCE = 1 << 16
+
 words_of = re.compile(r"\w+").findall
 
 
@@ -63,6 +66,11 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return bucket(whole, WORDS), bucket(groups[order], CHARS), np.bincount(owner, minlength=len(words))
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions first[k] .. first[k] + size[k] - 1 of all k, end to end."""
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
 def window_starts(n: int) -> np.ndarray:
     """Where the windows of a text of ``n`` words begin: every ``STRIDE`` words, and one that ends with the text."""
     if n <= WINDOW:
@@ -105,10 +113,13 @@ class Network:
 
     def inputs(self, features: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
         word, group, count = features
-        if not len(word):
-            return np.zeros((0, INPUT), dtype=np.float32)
         first = np.cumsum(count) - count
-        return self.p["E"][word] + np.add.reduceat(self.p["C"][group], first) / count[:, None].astype(np.float32)
+        out = self.p["E"][word]
+        for a in range(0, len(word), AT_ONCE):
+            some = slice(a, a + AT_ONCE)
+            end = first[a + AT_ONCE] if a + AT_ONCE < len(word) else len(group)
+            out[some] += np.add.reduceat(self.p["C"][group[first[a] : end]], first[some] - first[a]) / count[some, None].astype(np.float32)
+        return out
 
     def projected(self, x: np.ndarray) -> np.ndarray:
         return np.hstack([x @ self.p["Wf"] + self.p["bf"], x @ self.p["Wb"] + self.p["bb"]])
@@ -190,16 +201,16 @@ class Network:
 class Words:
     """Numbers for words, with the inputs of those numbers."""
 
-    def __init__(self, network: Network | None = None):
+    def __init__(self, network: Network):
         self.network, self.number, self.rows, self.used = network, {}, np.zeros((1024, 6 * HIDDEN), dtype=np.float32), 0
 
     def numbers(self, texts: list[list[str]]) -> np.ndarray:
         known = self.number
-        if self.network is not None and len(known) > REMEMBERED:
+        if len(known) > REMEMBERED:
             known.clear()
             self.used = 0
         new = list(set().union(*texts) - known.keys())
-        if self.network is not None and new:
+        if new:
             need = self.used + len(new)
             if need > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.empty((need, 6 * HIDDEN), dtype=np.float32)])
@@ -215,27 +226,31 @@ class Words:
 def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOCHS) -> Network:
     """A network for texts marked 1 (toxic) or 0.  With no text, or none of one class, it is untrained."""
     network, rng = Network.new(seed), np.random.default_rng(seed)
-    split = [words_of(t.lower()) for t in texts]
-    marks = np.array([m for m, s in zip(toxic, split) if s], dtype=np.float32)
-    split = [s for s in split if s]
+    vocabulary: dict[str, int] = {}
+    numbers, marks = [], []
+    for t, m in zip(texts, toxic):
+        own = [vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t.lower())]
+        if own:
+            numbers.append(np.array(own, dtype=np.int32))
+            marks.append(m)
+    marks = np.array(marks, dtype=np.float32)
     if not len(marks) or marks.min() == marks.max():
         return network
-    vocabulary = Words()
-    number = vocabulary.numbers(split)
-    word, group, count = features = word_features(list(vocabulary.number))
+    word, group, count = features = word_features(list(vocabulary))
+    del vocabulary
     first_group = np.cumsum(count) - count
-    lengths = np.array([len(s) for s in split])
+    number, lengths = np.concatenate(numbers), np.array([len(n) for n in numbers])
     at, there, text = windows(lengths)
     at = number[at]
     # the first choice of windows is by how much oftener a word or its letter groups occur in toxic texts
     in_text = np.unique(np.repeat(np.arange(len(lengths)), lengths) * len(word) + number)
     seen, in_word = np.divmod(in_text, len(word))
-    each = np.repeat(in_word, count[in_word])
-    inside = np.arange(len(each)) - np.repeat(np.cumsum(count[in_word]) - count[in_word], count[in_word])
-    marked = marks[seen].astype(int)
+    marked = marks[seen].astype(np.int8)
     by_word, by_group = np.zeros((2, WORDS)), np.zeros((2, CHARS))
     np.add.at(by_word, (marked, word[in_word]), 1)
-    np.add.at(by_group, (np.repeat(marked, count[in_word]), group[first_group[each] + inside]), 1)
+    for a in range(0, len(in_word), AT_ONCE):
+        some = in_word[a : a + AT_ONCE]
+        np.add.at(by_group, (np.repeat(marked[a : a + AT_ONCE], count[some]), group[_ranges(first_group[some], count[some])]), 1)
     # what only a few texts have would be learnt by heart: it has no vector
     rare = {"E": by_word.sum(0) < RARE, "C": by_group.sum(0) < RARE}
     for k, v in rare.items():
@@ -249,7 +264,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOC
     for epoch in range(epochs):
         if epoch:
             rows = network.projected(network.inputs(features))
-            score = np.concatenate([network.forward(rows[at[a : a + 4096]], there[a : a + 4096]) for a in range(0, len(at), 4096)])
+            score = np.concatenate([network.forward(rows[at[a : a + 2048]], there[a : a + 2048]) for a in range(0, len(at), 2048)])
         chosen = []
         for k, mark in enumerate(marks):
             mine = np.arange(bounds[k], bounds[k + 1])
@@ -261,9 +276,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOC
         for a in range(0, len(chosen), BATCH):
             some, mine = chosen[a : a + BATCH], slice(a, a + BATCH)
             used, local = np.unique(at[some], return_inverse=True)
-            c = count[used]
-            inside = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-            part = (word[used], group[np.repeat(first_group[used], c) + inside], c)
+            part = (word[used], group[_ranges(first_group[used], count[used])], count[used])
             _, g = network.gradients(part, local.reshape(len(some), WINDOW), there[some], y[mine], (weight[mine] / len(some)).astype(np.float32))
             step += 1
             rate = RATE * (1 - 0.9 * epoch / epochs)
@@ -286,8 +299,8 @@ def text_scores(texts: list[str], words: Words) -> np.ndarray:
     number = words.numbers(split)
     at, there, text = windows(lengths)
     best = np.full(len(texts), -np.inf)
-    for a in range(0, len(at), 4096):
-        some = slice(a, a + 4096)
+    for a in range(0, len(at), 2048):
+        some = slice(a, a + 2048)
         logit = words.network.forward(words.rows[number[at[some]]], there[some])
         np.maximum.at(best, text[some], logit)
     return 1 / (1 + np.exp(-best))
