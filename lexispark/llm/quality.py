@@ -163,11 +163,13 @@ def _feature_rows(rows: DataFrame) -> DataFrame:
     return spread_scan(rows.select("text")).mapInArrow(run, "x array<double>")
 
 
-def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """Features of about ``most`` rows, taken by the hash of their id."""
+def _picked(rows: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows, taken by the hash of their id."""
     n = rows.count()
-    if n > most:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * most / n)))
+    return rows if n <= most else rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * most / n)))
+
+
+def _features_of(rows: DataFrame) -> np.ndarray:
     found = _feature_rows(rows).toArrow().column("x").combine_chunks()
     return found.flatten().to_numpy().reshape(-1, FEATURES)
 
@@ -175,8 +177,10 @@ def _sample(rows: DataFrame, most: int) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, fold: int, folds: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Scorer:
     """Fit on rows outside ``fold``: trusted positives are labelled 1, unlabelled are all rows of ``docs``."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(crc_fold("id", folds) != fold)
-    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
-    return fit(_sample(rows.join(trusted, "id", "left_semi"), POSITIVES), _sample(rows, UNLABELLED))
+    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).where(crc_fold("id", folds) != fold).distinct()
+    # few ids go to the texts, not the texts to the ids
+    positive = rows.join(F.broadcast(_picked(trusted, POSITIVES)), "id", "left_semi")
+    return fit(_features_of(positive), _features_of(_picked(rows, UNLABELLED)))
 
 
 def scores(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text", carried: dict[str, Column] | None = None) -> DataFrame:

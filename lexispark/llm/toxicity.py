@@ -25,7 +25,7 @@ INPUT, HIDDEN, ATTENTION = 12, 8, 8
 TRAIN_DOCS = (3000, 1500)
 #: The share of the loss that toxic texts have.
 TOXIC_WEIGHT = 0.3
-TRAIN_CHARS = 20_000
+TRAIN_CHARS = 12_000
 EPOCHS = 8
 #: Words and letter groups in fewer training texts have no vector.
 RARE = 5
@@ -307,16 +307,26 @@ def text_scores(texts: list[str], words: Words) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], list[int]]:
-    """At most ``TRAIN_DOCS`` labelled texts of the two classes, of at most ``TRAIN_CHARS`` characters, outside ``fold``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(crc_fold("id", folds) != fold)
-    rows = rows.where(F.length("text").between(1, TRAIN_CHARS))
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
-    rows = rows.join(marks, "id")
-    texts, toxic = [], []
-    for y in (0, 1):
-        found = rows.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id", "text").limit(TRAIN_DOCS[y]).select("text").collect()
-        texts += [r[0] for r in found]
-        toxic += [y] * len(found)
+    """At most ``TRAIN_DOCS`` labelled texts of the two classes, of at most ``TRAIN_CHARS`` characters, outside ``fold``.
+
+    The ids are chosen first, by their hash, and only they are sent to the texts.  Of an id that is marked both ways
+    the mark is toxic.
+    """
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
+    marks = marks.where(crc_fold("id", folds) != fold).groupBy("id").agg(F.max("y").alias("y"))
+    sizes = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chance = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    picked = F.lit(False)
+    for y, n in sizes.items():
+        picked = picked | ((F.col("y") == y) & (chance < int(1_000_000 * TRAIN_DOCS[y] / n)))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, TRAIN_CHARS))
+    found = rows.join(F.broadcast(marks.where(picked)), "id").select(F.xxhash64("id").alias("at"), "y", "text").collect()
+    texts, toxic, left = [], [], list(TRAIN_DOCS)
+    for _, y, text in sorted(found):
+        if left[y]:
+            left[y] -= 1
+            texts.append(text)
+            toxic.append(y)
     return texts, toxic
 
 
