@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lexispark.llm.common import block_rows, connected_components, forest, group_pairs, scan_groups, spread_scan
-from lexispark.session import materialize
+from lexispark.session import fits_broadcast, materialize
 
 BLOCK = 1024
 SEED = 42
@@ -259,8 +259,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = materialize(wide_links(nodes, lanes, int(middle + 3 * deviation)), "wide-links")
     sure = F.col("apart") <= middle - 3 * deviation
     open_links = links.where(~sure).select("a", "b")
-    asked = open_links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = rows.join(asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    asked = materialize(open_links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wide-asked")
+    # ids go to the texts while they are few, so that only texts that are compared are shuffled
+    texts = rows.join(F.broadcast(asked) if fits_broadcast(asked) else asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     links = links.where(sure).select("a", "b").unionByName(_jaccard(open_links, texts, words, similarity))
     linked = connected_components(links)
     named = nodes.join(linked, "node", "left").select("bits", F.coalesce("component", "node").alias("component"))
