@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexispark.llm import decontaminate, extraction, language, mixing, pii, quality, simhash, stages, tokens, toxicity, vectors
 from lexispark.llm.common import crc_fold, table
@@ -51,8 +51,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [k.name for k in pii.BASE]
     found = found.withColumn("base", F.filter("spans", lambda s: s["kind"].isin(base)))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
-    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, base), F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,8 @@ TRAIN_DOCS = (3000, 1500)
 TOXIC_WEIGHT = 0.3
 TRAIN_CHARS = 12_000
 EPOCHS = 8
+#: Small samples are gone through more often, until there are so many steps.
+LEAST_STEPS = 300
 #: Words and letter groups in fewer training texts have no vector.
 RARE = 5
 BATCH = 256
@@ -260,6 +262,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOC
     score = np.where(there, odds[at], -np.inf).max(1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     step = 0
+    a_round = -(-int((marks == 1).sum() + 4 * (marks == 0).sum()) // BATCH)
+    epochs = max(epochs, -(-LEAST_STEPS // a_round))
     bounds = np.searchsorted(text, np.arange(len(lengths) + 1))
     for epoch in range(epochs):
         if epoch:
