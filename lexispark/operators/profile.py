@@ -69,38 +69,19 @@ def text_lengths(df: DataFrame, key: str, text: str) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of integer columns.
 
-    Equal values are counted first, so the exact percentile works on the distinct
-    values and their frequencies and not on the rows.
+    All columns are taken in one pass of long rows.  The deviation merges partial moments, so large values close
+    together keep theirs; the percentile works on distinct values and their frequencies.
     """
-
-    def one(column: str) -> DataFrame:
-        x, n = F.col("x").cast("double"), F.col("n")
-        freq = df.select(F.col(column).alias("x")).where("x is not null").groupBy("x").agg(F.count("*").alias("n"))
-        total = F.sum("n")
-        mean = F.sum(x * n) / total
-        return (
-            freq.agg(
-                total.alias("count"),
-                mean.alias("mean"),
-                F.sum(x * x * n).alias("_square"),
-                F.min("x").cast("double").alias("min"),
-                F.percentile("x", list(QUARTILES), n).alias("_q"),
-                F.max("x").cast("double").alias("max"),
-            )
-            .withColumn(
-                "std",
-                F.sqrt(
-                    F.greatest(F.col("_square") - F.col("count") * F.col("mean") * F.col("mean"), F.lit(0.0))
-                    / F.nullif(F.col("count") - 1, F.lit(0))
-                ),
-            )
-            .select(
-                F.lit(column).alias("column_name"), "count", "mean", "std", "min",
-                F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max",
-            )
-        )
-
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])
+    values = df.select(F.explode(pairs).alias("p")).select("p.column_name", "p.x")
+    moments = values.groupBy("column_name").agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    counted = values.where("x is not null").groupBy("column_name", "x").agg(F.count("*").alias("n"))
+    ranks = counted.groupBy("column_name").agg(F.percentile("x", list(QUARTILES), F.col("n")).alias("_q"))
+    return moments.join(ranks, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min",
+        F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max",
+    )
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:

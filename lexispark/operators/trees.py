@@ -29,6 +29,12 @@ class ForestConfig:
     balanced: bool = True
     seed: int = 42
 
+    def depth(self) -> int:
+        """Depth handed to MLlib; None stands for its largest, and more than that is an error."""
+        if self.max_depth is not None and not 0 <= self.max_depth <= MAX_DEPTH:
+            raise ValueError(f"max_depth is at most {MAX_DEPTH}; None means {MAX_DEPTH}")
+        return MAX_DEPTH if self.max_depth is None else self.max_depth
+
     def leaf_rows(self) -> int:
         return max(self.min_samples_leaf, ceil(self.min_samples_split / 2))
 
@@ -67,7 +73,7 @@ def fit_random_forest(vectors: DataFrame, label: str, cfg: ForestConfig = Forest
     data = with_class_weights(data, label, "_weight") if cfg.balanced else data.withColumn("_weight", F.lit(1.0))
     forest = RandomForestClassifier(
         labelCol="_y", featuresCol="features", weightCol="_weight", numTrees=cfg.n_trees,
-        maxDepth=min(cfg.max_depth or MAX_DEPTH, MAX_DEPTH), minInstancesPerNode=cfg.leaf_rows(),
+        maxDepth=cfg.depth(), minInstancesPerNode=cfg.leaf_rows(),
         featureSubsetStrategy="sqrt", bootstrap=True, seed=cfg.seed,
     )
     return TreeModel(forest.fit(data.select("_y", "_weight", "features")), classes)

@@ -31,12 +31,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def read_delimited(spark: SparkSession, path: str, schema: str | None = None, sep: str = "\t") -> DataFrame:
-    """Text table with a header.  Quoted fields may hold separators, quotes and line breaks."""
+def read_delimited(spark: SparkSession, path: str, schema: str | None = None, sep: str = "\t",
+                   multi_line: bool = True) -> DataFrame:
+    """Text table with a header; ``path`` is a file or a folder of files.
+
+    Quoted fields may hold separators and quotes, and with ``multi_line`` line breaks.  Then one task reads a whole
+    file; a large table without line breaks in its fields should be read without, so that its files are split.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
     reader = (
-        spark.read.option("sep", sep).option("header", True).option("multiLine", True)
+        spark.read.option("sep", sep).option("header", True).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"').option("enforceSchema", False)
     )
     if schema is None:

@@ -183,3 +183,19 @@ def test_class_weights(spark):
     assert got == {"a": 4 / 6, "b": 2.0}
     binary = linear.binary_class_weights(df.select((F.col("y") == "b").alias("p")), "p").first()
     assert (binary.pos_weight, binary.neg_weight) == (2.0, 4 / 6)
+
+
+def test_forest_depth_is_never_cut_silently():
+    from lexispark.operators.trees import ForestConfig
+
+    assert ForestConfig(max_depth=None).depth() == 30 and ForestConfig(max_depth=4).depth() == 4
+    with pytest.raises(ValueError):
+        ForestConfig(max_depth=31).depth()
+
+
+def test_deviation_of_large_values(spark):
+    from lexispark.operators.profile import numeric_summary
+
+    big = spark.createDataFrame([(10**9 + k, k) for k in range(5)] + [(None, None)], "a long, b long")
+    found = {r.column_name: r for r in numeric_summary(big, ["a", "b"]).collect()}
+    assert abs(found["a"].std - 2.5**0.5) < 1e-6 and found["a"].q50 == 10**9 + 2 and found["b"]["count"] == 5

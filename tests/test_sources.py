@@ -97,3 +97,23 @@ def test_materialized_table_has_no_lineage(spark):
     df = materialize(spark.range(10).withColumnRenamed("id", "x"), "m")
     assert df.count() == 10 and all(f.startswith(("file:", "/")) for f in df.inputFiles())
     assert shared_dir(spark)
+
+
+def test_cache_follows_its_input(spark, tmp_path):
+    from lexispark.sources.cache import cached_cleaning
+
+    rows = [(1, "one text"), (2, "two texts")]
+    first = spark.createDataFrame(rows, "id long, abstract string")
+    path = str(tmp_path / "cache")
+    assert cached_cleaning(first, path, "id", "abstract").count() == 2
+    more = spark.createDataFrame([*rows, (3, "three texts")], "id long, abstract string")
+    assert cached_cleaning(more, path, "id", "abstract").count() == 3
+
+
+def test_single_line_reader(spark, tmp_path):
+    from lexispark.sources.tables import read_delimited
+
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text('id\tabstract\n1\t"x ""y"""\n')
+    found = read_delimited(spark, str(tmp_path), "id long, abstract string", multi_line=False).collect()
+    assert [tuple(r) for r in found] == [(1, 'x "y"')] * 2
