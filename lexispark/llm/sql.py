@@ -9,7 +9,7 @@ WITH RECURSIVE v AS (
 ), fine AS (
   SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS len FROM v
   WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
-    AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
 ), link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_dot_product(a.e, b.e) >= 0.93 * a.len * b.len
