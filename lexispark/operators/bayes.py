@@ -24,32 +24,23 @@ def complement_weights(sums: DataFrame, n_classes: int, alpha, norm, by: Sequenc
     """``(by..., feature, theta)`` with ``-log`` of the smoothed share the term has outside each class.
 
     With ``norm`` each class is divided by the sum of its logarithms instead.  ``alpha`` and ``norm`` are
-    values or columns.  The sums over the vocabulary are one row per group.
+    values or columns.  The sums over the vocabulary are one row per group and class, so the plan is of the same size
+    for any number of classes.
     """
     alpha = F.lit(alpha) if isinstance(alpha, (int, float)) else alpha
     norm = F.lit(norm) if isinstance(norm, bool) else norm
     by = list(by)
     shares = sums.withColumn("_alpha", alpha.cast("double")).withColumn("_norm", norm)
-    rest = [F.col("total") + F.col("_alpha") - F.col("counts")[c] for c in range(n_classes)]
-    shares = shares.withColumn("_rest", F.array(*rest))
+    shares = shares.withColumn("_rest", F.transform("counts", lambda n: F.col("total") + F.col("_alpha") - n))
     # sum over terms of log(rest / S) is sum(log(rest)) - n_terms * log(S): one aggregate gives both
-    totals = shares.groupBy(*by).agg(
-        F.array(*[F.sum(F.col("_rest")[c]) for c in range(n_classes)]).alias("_sum"),
-        F.array(*[F.sum(F.log(F.col("_rest")[c])) for c in range(n_classes)]).alias("_logs"),
-        F.count("*").alias("_terms"),
-    )
-    if by:
-        joined = shares.join(totals, by)
-        total, logs, terms = F.col("_sum"), F.col("_logs"), F.col("_terms")
-    else:
-        joined = shares
-        one_row = totals.select(F.struct("_sum", "_logs", "_terms")).scalar()
-        total, logs, terms = one_row["_sum"], one_row["_logs"], one_row["_terms"]
-    logged = [F.log(F.col("_rest")[c] / total[c]) for c in range(n_classes)]
-    summed = [logs[c] - terms * F.log(total[c]) for c in range(n_classes)]
-    theta = F.array(*[
-        F.when(F.col("_norm"), logged[c] / summed[c]).otherwise(-logged[c]) for c in range(n_classes)
-    ])
+    per_class = shares.select(*by, F.posexplode("_rest").alias("_class", "_r")).groupBy(*by, "_class").agg(
+        F.sum("_r").alias("_sum"), F.sum(F.log("_r")).alias("_logs"), F.count("*").alias("_terms"))
+    summed = F.col("_logs") - F.col("_terms") * F.log("_sum")
+    packed = F.sort_array(F.collect_list(F.struct("_class", F.col("_sum").alias("total"), summed.alias("summed"))))
+    totals = per_class.groupBy(*by).agg(packed.alias("_of"))
+    joined = shares.join(totals, by) if by else shares.withColumn("_of", totals.scalar())
+    theta = F.zip_with("_rest", "_of", lambda r, t: F.when(
+        F.col("_norm"), F.log(r / t["total"]) / t["summed"]).otherwise(-F.log(r / t["total"])))
     return joined.select(*by, feature, theta.alias("theta"))
 
 

@@ -199,3 +199,19 @@ def test_deviation_of_large_values(spark):
     big = spark.createDataFrame([(10**9 + k, k) for k in range(5)] + [(None, None)], "a long, b long")
     found = {r.column_name: r for r in numeric_summary(big, ["a", "b"]).collect()}
     assert abs(found["a"].std - 2.5**0.5) < 1e-6 and found["a"].q50 == 10**9 + 2 and found["b"]["count"] == 5
+
+
+def test_complement_nb_with_many_classes(spark):
+    n = 60
+    rows = [(k % n, f"t{k * 7 % 11}", 1.0 + k % 5) for k in range(400)]
+    table = spark.createDataFrame(rows, "y int, term string, w double")
+    terms = sorted({t for _, t, _ in rows})
+    counts = np.zeros((len(terms), n))
+    for y, t, w in rows:
+        counts[terms.index(t), y] += w
+    rest = counts.sum(1, keepdims=True) + 0.5 - counts
+    logged = np.log(rest / rest.sum(0))
+    for norm, expected in ((False, -logged), (True, logged / logged.sum(0))):
+        theta = fit_complement_nb(table, list(range(n)), "y", 0.5, norm)
+        found = {r.term: r.theta for r in theta.select("term", "theta").collect()}
+        assert np.allclose([found[t] for t in terms], expected)
