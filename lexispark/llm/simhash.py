@@ -7,17 +7,20 @@ some segment starts a chain whose differences stay within the proportional budge
 * ``ring_links`` (64 bits, few differing bits): no link is lost.  Two rings are nested: an equal 16-bit segment out of
   four, and an equal 12-bit segment out of the four that the other 48 bits make.  Their 28 bits are the join key, so
   buckets stay small up to billions of fingerprints; the chains of both rings are tested before the full distance.
-* ``wide_links`` (many lanes, a similarity of 0.8): at that similarity no equal segment is certain, but each of
+* ``similar_documents`` (many lanes, a similarity of 0.8): at that similarity no equal segment is certain, but each of
   ``16 * lanes / 4`` segments gives a chance.  Rows carry the next 64 bits of the ring, on which the chain is
-  tested; only the pairs that pass are compared over the whole width.
+  tested; only the pairs that pass are compared over the whole width.  A candidate is not yet a link: a forest of
+  unverified ones would lose true pairs that close a cycle of false ones, so what a dense block holds beyond its forest
+  is compared again until verified links join it or no pair is left.
 
 Equal fingerprints are one node, so copies are never compared.  A bucket is split into bounded blocks, and each block
-gives a spanning forest of its links, not its pairs.
+gives a spanning forest of its verified links, not its pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -33,6 +36,12 @@ SEED = 42
 CHUNK = 1 << 16
 #: Bits of 64 that two texts may differ in before they are no longer linked, in the narrow search.
 NARROW_BITS = 3
+#: Candidate pairs a row up to which a group of the wide search hands on all of its pairs.
+DENSE = 4
+#: Shingle sets that a task keeps while it verifies pairs.
+SETS = 1024
+#: What a row of a dense group is compared by, besides its node.
+MEMBER = ("bucket", "tail", "own", "lo", "hi")
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -171,14 +180,9 @@ def _component_ids(nodes: DataFrame, key: str, linked: DataFrame) -> DataFrame:
     return rooted.join(least, "root").select(key, "component")
 
 
-def wide_links(nodes: DataFrame, lanes: int, max_bits: int, block: int = BLOCK) -> DataFrame:
-    """Links ``(a, b)`` between ids of ``nodes(node, bits array<long>)`` within ``max_bits`` of ``64 * lanes`` bits.
-
-    One row per 16-bit segment, with the 64 bits that follow it in the ring.  Pairs with an equal segment whose chain
-    stays within the budgets over those 64 bits go on to the full distance.
-    """
-    per_lane, total = 4, 64 * lanes
-    budget = max_bits / (total // 16)
+def _segments(nodes: DataFrame, lanes: int, block: int) -> DataFrame:
+    """One row per 16-bit segment of ``nodes(node, bits array<long>)``, with the 64 bits that follow it in the ring."""
+    per_lane = 4
     pieces = []
     for lane in range(lanes):
         this, after = F.col("bits")[lane], F.col("bits")[(lane + 1) % lanes]
@@ -186,29 +190,63 @@ def wide_links(nodes: DataFrame, lanes: int, max_bits: int, block: int = BLOCK)
             by = 16 * (s + 1)
             head = F.shiftrightunsigned(this, 48 - 16 * s).bitwiseAND(F.lit(0xFFFF))
             tail = after if by == 64 else F.shiftleft(this, by).bitwiseOR(F.shiftrightunsigned(after, 64 - by))
-            pieces.append(F.struct(head.bitwiseOR(F.lit((lane * per_lane + s) << 16)).alias("bucket"), tail.alias("tail")))
-    rows = nodes.select("node", F.explode(F.array(*pieces)).alias("p")).select("node", "p.bucket", "p.tail")
-    rows = block_rows(rows, "bucket", "node", block)
+            pieces.append(F.struct(head.bitwiseOR(F.lit((lane * per_lane + s) << 16)).cast("int").alias("bucket"), tail.alias("tail")))
+    rows = nodes.select("node", F.explode(F.array(*pieces)).alias("p")).select("node", F.col("node").alias("component"), "p.bucket", "p.tail")
+    return block_rows(rows, "bucket", "node", block)
+
+
+def _chained(batch: pa.RecordBatch, starts: np.ndarray, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows of distinct components whose chains stay within ``budget`` bits a segment, and the bits they differ in."""
+    tail = batch.column("tail").to_numpy().view(np.uint64)
+    component, own = batch.column("component").to_numpy(), batch.column("own").to_numpy()
+    diagonal = batch.column("lo").to_numpy() == batch.column("hi").to_numpy()
+    for i, j in group_pairs(starts, batch.num_rows):
+        use = (diagonal[i] | (own[i] != own[j])) & (component[i] != component[j])
+        i, j = i[use], j[use]
+        x, seen = tail[i] ^ tail[j], np.zeros(len(i), dtype=np.int64)
+        for length in range(2, 6):
+            seen = seen + _ones((x >> np.uint64(80 - 16 * length)) & np.uint64(0xFFFF))
+            ok = seen <= length * budget
+            i, j, x, seen = i[ok], j[ok], x[ok], seen[ok]
+        yield i, j, seen
+
+
+def wide_candidates(rows: DataFrame, budget: float, forests: bool = True) -> DataFrame:
+    """What the groups of ``rows`` (of ``_segments``) have to be compared: pairs ``(a, b)``, and members of dense groups.
+
+    A group of at most ``DENSE`` pairs a row gives all of them.  A denser one gives a spanning forest of its shortest
+    pairs (none without ``forests``), and its rows that are in any pair (``b`` null), for what is still open when the
+    forest has been verified.
+    """
 
-    def candidates(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
         n = batch.num_rows
-        tail = batch.column("tail").to_numpy().view(np.uint64)
-        node, own = batch.column("node").to_numpy(), batch.column("own").to_numpy()
-        diagonal = batch.column("lo").to_numpy() == batch.column("hi").to_numpy()
+        size = np.diff(np.append(starts, n))
+        group, passed, paired = np.repeat(np.arange(len(starts)), size), np.zeros(len(starts), dtype=np.int64), np.zeros(n, dtype=bool)
         found = [(np.zeros(0, dtype=np.int64),) * 3]
-        for i, j in group_pairs(starts, n):
-            use = diagonal[i] | (own[i] != own[j])
-            i, j = i[use], j[use]
-            x, seen = tail[i] ^ tail[j], np.zeros(len(i), dtype=np.int64)
-            for length in range(2, 6):
-                seen = seen + _ones((x >> np.uint64(80 - 16 * length)) & np.uint64(0xFFFF))
-                ok = seen <= length * budget
-                i, j, x, seen = i[ok], j[ok], x[ok], seen[ok]
-            found.append(_closest(n, i, j, seen))
-        i, j, _ = _closest(n, *(np.concatenate(f) for f in zip(*found)))
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j]))], ["a", "b"])
-
-    pairs = scan_groups(rows, ["bucket", "lo", "hi"], candidates, "a long, b long").where("a <> b").distinct()
+
+        def thin(i: np.ndarray, j: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, ...]:
+            many = (passed > DENSE * size)[group[i]]
+            few, rest = (i[~many], j[~many], seen[~many]), (i[many], j[many], seen[many])
+            return tuple(np.concatenate(x) for x in zip(few, _closest(n, *rest))) if forests else few
+
+        for i, j, seen in _chained(batch, starts, budget):
+            passed += np.bincount(group[i], minlength=len(starts))
+            paired[i] = paired[j] = True
+            found.append(thin(i, j, seen))
+        i, j, _ = thin(*(np.concatenate(f) for f in zip(*found)))
+        node = batch.column("node").to_numpy()
+        members = batch.filter(pa.array((passed > DENSE * size)[group] & paired))
+        empty = [pa.nulls(len(i), members.schema.field(c).type) for c in MEMBER]
+        pairs = [pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j])), *empty]
+        rest = [members.column("node"), pa.nulls(members.num_rows, pa.int64()), *(members.column(c) for c in MEMBER)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(pairs, rest)], ["a", "b", *MEMBER])
+
+    return scan_groups(rows.select("node", "component", *MEMBER), ["bucket", "lo", "hi"], run, "a long, b long, bucket int, tail long, own int, lo int, hi int")
+
+
+def _within(pairs: DataFrame, nodes: DataFrame, max_bits: int) -> DataFrame:
+    """The pairs ``(a, b)`` that differ in at most ``max_bits`` of the whole width, and the bits they differ in."""
     side = nodes.select("node", "bits")
     pairs = pairs.join(side.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a")
     pairs = pairs.join(side.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
@@ -216,6 +254,57 @@ def wide_links(nodes: DataFrame, lanes: int, max_bits: int, block: int = BLOCK)
     return pairs.select("a", "b", apart.alias("apart")).where(F.col("apart") <= max_bits)
 
 
+def _open_groups(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """The rows of dense groups that are not yet one component, with their components so far."""
+    keys = ["bucket", "lo", "hi"]
+    rows = members.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = materialize(rows, "wide-members")
+    split = rows.groupBy(*keys).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select(*keys)
+    return materialize(rows.join(split, keys, "left_semi"), "wide-open")
+
+
+def _dense_links(rows: DataFrame, budget: float, words: int, similarity: float) -> DataFrame:
+    """Links that span the open groups: each pair is compared by its shingle sets where its texts are together.
+
+    Nothing is left out: a pair is passed over only if verified links join its ends already.
+    """
+
+    def run(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        a, b = [], []
+        for start, end in zip(starts, np.append(starts[1:], batch.num_rows)):
+            part = batch.slice(start, end - start)
+            sets = [_shingle_set(t.as_py(), words) for t in part.column("text")]
+            size = np.array([len(p) for p in sets])
+            node, component = part.column("node").to_pylist(), part.column("component").to_pylist()
+            root = {c: c for c in component}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            for i, j, _ in _chained(part, np.zeros(1, dtype=np.int64), budget):
+                ok = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j])
+                for x, y in zip(i[ok].tolist(), j[ok].tolist()):
+                    u, v = find(component[x]), find(component[y])
+                    if u != v and _similar(sets[x], sets[y], similarity):
+                        root[u] = v
+                        a.append(node[x])
+                        b.append(node[y])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return scan_groups(rows.select("node", "component", *MEMBER, "text"), ["bucket", "lo", "hi"], run, "a long, b long")
+
+
+def _shingle_set(text: str | None, words: int) -> frozenset:
+    return frozenset(shingle_hashes(text or "", words).tolist())
+
+
+def _similar(p: frozenset, q: frozenset, similarity: float) -> bool:
+    shared = len(p & q)
+    return shared >= similarity * (len(p) + len(q) - shared)
+
+
 def _closest(n: int, i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The spanning forest of the shortest links, with their distances."""
     order = np.argsort(apart, kind="stable")
@@ -228,12 +317,10 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     """The pairs ``(a, b)`` whose sets of word shingles have at least this similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a text of a hot template is in many pairs
+        shingles = lru_cache(SETS)(lambda text: _shingle_set(text, words))
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = (np.unique(shingle_hashes(t.as_py() or "", words)) for t in (x, y))
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(shared >= similarity * (len(p) + len(q) - shared))
+            keep = [_similar(shingles(x.as_py()), shingles(y.as_py()), similarity) for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
     pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
@@ -241,7 +328,7 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 16) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 16, block: int = BLOCK) -> DataFrame:
     """``id`` and ``component`` of every row, for word-shingle similarities from ``similarity`` up.
 
     Two sets of Jaccard similarity s have the cosine 2s / (1 + s), and a SimHash bit differs with the probability
@@ -253,16 +340,39 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     total = 64 * lanes
     differs = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     middle, deviation = total * differs, (total * differs * (1 - differs)) ** 0.5
+    max_bits = int(middle + 3 * deviation)
+    budget = max_bits / (total // 16)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     marked = materialize(fingerprints(rows, "id", "text", words, lanes), "wide-fingerprints")
     nodes = materialize(marked.where("id is not null").groupBy("bits").agg(F.min("id").alias("node")), "wide-nodes")
-    links = materialize(wide_links(nodes, lanes, int(middle + 3 * deviation)), "wide-links")
     sure = F.col("apart") <= middle - 3 * deviation
-    open_links = links.where(~sure).select("a", "b")
-    asked = materialize(open_links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wide-asked")
-    # ids go to the texts while they are few, so that only texts that are compared are shuffled
-    texts = rows.join(F.broadcast(asked) if fits_broadcast(asked) else asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    links = links.where(sure).select("a", "b").unionByName(_jaccard(open_links, texts, words, similarity))
-    linked = connected_components(links)
+
+    def texts_of_ids(asked: DataFrame) -> DataFrame:
+        # ids go to the texts while they are few, so that only texts that are compared are shuffled
+        asked = materialize(asked.distinct(), "wide-asked")
+        return rows.join(F.broadcast(asked) if fits_broadcast(asked) else asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        found = materialize(_within(pairs.distinct(), nodes, max_bits), "wide-links")
+        open_links = found.where(~sure).select("a", "b")
+        texts = texts_of_ids(open_links.select(F.explode(F.array("a", "b")).alias("id")))
+        return found.where(sure).select("a", "b").unionByName(_jaccard(open_links, texts, words, similarity))
+
+    segments, links = _segments(nodes, lanes, block), None
+    for forests in (True, False):
+        found = materialize(wide_candidates(segments, budget, forests), "wide-candidates")
+        new = materialize(verified(found.where("b is not null").select("a", "b")), "wide-verified")
+        links = new if links is None else links.unionByName(new)
+        linked = materialize(connected_components(links), "wide-components")
+        members = found.where("b is null").select(F.col("a").alias("node"), *MEMBER)
+        if not members.take(1):
+            break
+        segments = _open_groups(members, linked)
+        if not segments.take(1):
+            break
+    else:
+        texts = texts_of_ids(segments.select(F.col("node").alias("id"))).withColumnRenamed("id", "node")
+        links = links.unionByName(materialize(_dense_links(segments.join(texts, "node"), budget, words, similarity), "wide-dense"))
+        linked = connected_components(links)
     named = nodes.join(linked, "node", "left").select("bits", F.coalesce("component", "node").alias("component"))
     return marked.join(named, "bits", "left").select("id", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))

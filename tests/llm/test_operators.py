@@ -299,3 +299,18 @@ def test_empty_tables(spark, odd):
     assert not decontaminate.contaminated(odd, spark.createDataFrame([], "item_id long, text string")).take(1)
     assert not vectors.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).take(1)
     assert not extraction.main_text(spark.createDataFrame([], "page_id long, url string, html string")).take(1)
+
+
+def test_similar_pairs_in_a_hot_template(spark):
+    rng = np.random.default_rng(8)
+    passage = [f"s{k}" for k in range(400)]
+    own = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    texts = [" ".join(passage + own(72)) for _ in range(900)]
+    texts += [" ".join(t.split()[:430] + own(42)) for t in texts[:60]]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = [(k, 900 + k) for k in range(60) if len(sets[k] & sets[900 + k]) >= 0.8 * len(sets[k] | sets[900 + k])]
+    assert len(near) == 60 and len(sets[0] & sets[1]) < 0.75 * len(sets[0] | sets[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.id: r.component for r in simhash.similar_documents(docs).collect()}
+    assert all(found[k] == k for k in range(900)) and all(found[k] in (k, k - 900) for k in range(900, 960))
+    assert sum(found[b] == a for a, b in near) >= 57
