@@ -90,6 +90,32 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return spread_scan(source).mapInArrow(run, "id long, bits array<long>")
 
 
+def set_fingerprints(docs: DataFrame, words: int, lanes: int) -> DataFrame:
+    """``id``, ``digest`` (of the text), ``node`` (of the set of its shingles) and ``bits`` of rows ``docs(id, text)``.
+
+    Each shingle has one vote, however often the text repeats it, as in a similarity of sets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, out = np.zeros(batch.num_rows, dtype=np.uint64), np.zeros((batch.num_rows, lanes), dtype=np.uint64)
+            for r in range(batch.num_rows):
+                h = np.unique(shingle_hashes(batch.column(2)[r].as_py() or "", words))
+                nodes[r] = _set_digest(h)
+                for lane in range(lanes if len(h) else 0):
+                    out[r, lane] = bit_majority(lane_hashes(h, lane))
+            offsets = pa.array(np.arange(0, batch.num_rows * lanes + 1, lanes, dtype=np.int32))
+            bits = pa.ListArray.from_arrays(offsets, pa.array(out.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(nodes.view(np.int64)), bits], ["id", "digest", "node", "bits"])
+
+    return spread_scan(docs.select("id", F.xxhash64("text").alias("digest"), "text")).mapInArrow(run, "id long, digest long, node long, bits array<long>")
+
+
+def _set_digest(distinct: np.ndarray) -> int:
+    """One number for a set of shingles, from their sorted hashes."""
+    return xxhash.xxh3_64_intdigest(distinct.tobytes())
+
+
 def _ones(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int16)
 
@@ -323,40 +349,39 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
             keep = [_similar(shingles(x.as_py()), shingles(y.as_py()), similarity) for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
-    pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+    pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 16, block: int = BLOCK) -> DataFrame:
-    """``id`` and ``component`` of every row, for word-shingle similarities from ``similarity`` up.
+    """``id``, ``digest`` (of the text) and ``component`` of every row, for word-shingle similarities from ``similarity`` up.
 
-    Two sets of Jaccard similarity s have the cosine 2s / (1 + s), and a SimHash bit differs with the probability
-    angle / pi.  Over ``64 * lanes`` bits, distances three standard deviations below what ``similarity`` gives link at
-    once, those up to three above link if the shingle sets have that similarity, and others don't.  ``id`` names a
-    text: of repeated ids with different texts the first in order is compared.  Rows with a null id are not compared
-    and keep a null component; other cases are as in ``near_duplicates``.
+    Two sets of Jaccard similarity s have about the cosine 2s / (1 + s), and a SimHash bit differs with the probability
+    angle / pi.  Over ``64 * lanes`` bits, distances up to three standard deviations above what ``similarity`` gives are
+    compared by the shingle sets, and link if those have that similarity; no link rests on fingerprints alone.  Texts of
+    the same set are one node.  Rows with a null id are not compared and keep a null component; other cases are as in
+    ``near_duplicates``.
     """
     total = 64 * lanes
     differs = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    middle, deviation = total * differs, (total * differs * (1 - differs)) ** 0.5
-    max_bits = int(middle + 3 * deviation)
+    max_bits = int(total * differs + 3 * (total * differs * (1 - differs)) ** 0.5)
     budget = max_bits / (total // 16)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = materialize(fingerprints(rows, "id", "text", words, lanes), "wide-fingerprints")
-    nodes = materialize(marked.where("id is not null").groupBy("bits").agg(F.min("id").alias("node")), "wide-nodes")
-    sure = F.col("apart") <= middle - 3 * deviation
+    marked = materialize(set_fingerprints(rows, words, lanes), "wide-fingerprints")
+    named = marked.where("id is not null").groupBy("node").agg(F.min(F.struct("id", "digest")).alias("r"), F.first("bits").alias("bits"))
+    nodes = materialize(named.select("node", F.col("r.id").alias("rep"), F.col("r.digest").alias("digest"), "bits"), "wide-nodes")
 
-    def texts_of_ids(asked: DataFrame) -> DataFrame:
+    def texts_of_nodes(asked: DataFrame) -> DataFrame:
         # ids go to the texts while they are few, so that only texts that are compared are shuffled
-        asked = materialize(asked.distinct(), "wide-asked")
-        return rows.join(F.broadcast(asked) if fits_broadcast(asked) else asked, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+        asked = materialize(nodes.join(asked.distinct(), "node", "left_semi").select("node", F.col("rep").alias("id"), "digest"), "wide-asked")
+        found = rows.withColumn("digest", F.xxhash64("text")).join(F.broadcast(asked) if fits_broadcast(asked) else asked, ["id", "digest"])
+        return found.groupBy("node").agg(F.first("text").alias("text"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        found = materialize(_within(pairs.distinct(), nodes, max_bits), "wide-links")
-        open_links = found.where(~sure).select("a", "b")
-        texts = texts_of_ids(open_links.select(F.explode(F.array("a", "b")).alias("id")))
-        return found.where(sure).select("a", "b").unionByName(_jaccard(open_links, texts, words, similarity))
+        pairs = materialize(_within(pairs.distinct(), nodes, max_bits).select("a", "b"), "wide-links")
+        texts = texts_of_nodes(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        return _jaccard(pairs, texts, words, similarity)
 
     segments, links = _segments(nodes, lanes, block), None
     for forests in (True, False):
@@ -371,8 +396,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if not segments.take(1):
             break
     else:
-        texts = texts_of_ids(segments.select(F.col("node").alias("id"))).withColumnRenamed("id", "node")
+        texts = texts_of_nodes(segments.select("node"))
         links = links.unionByName(materialize(_dense_links(segments.join(texts, "node"), budget, words, similarity), "wide-dense"))
         linked = connected_components(links)
-    named = nodes.join(linked, "node", "left").select("bits", F.coalesce("component", "node").alias("component"))
-    return marked.join(named, "bits", "left").select("id", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
+    named = _component_ids(nodes.select("node", "rep"), "node", linked)
+    return marked.join(named, "node", "left").select("id", "digest", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))

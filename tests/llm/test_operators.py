@@ -314,3 +314,16 @@ def test_similar_pairs_in_a_hot_template(spark):
     found = {r.id: r.component for r in simhash.similar_documents(docs).collect()}
     assert all(found[k] == k for k in range(900)) and all(found[k] in (k, k - 900) for k in range(900, 960))
     assert sum(found[b] == a for a, b in near) >= 57
+
+
+def test_repeated_lines_count_once(spark):
+    rng = np.random.default_rng(9)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    line, body = words(9) + " ", words(300)
+    texts = [line * 30 + words(100), line * 30 + words(100), body, body + (" " + words(5)) * 1, body + " " + "a b c d e " * 60]
+    texts += [line * 200 + "one", line * 200 + "two", body.upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    exact = components(range(8), [(a, b) for a in range(8) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    assert exact[1] == 1 and exact[4] == 2 and exact[7] == 2
+    assert {r.id: r.component for r in simhash.similar_documents(docs).collect()} == exact
