@@ -116,15 +116,14 @@ class Index:
         k + 1, or k alone if it is the ``last`` of its text.
         """
         none = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
-        # a word counts once in a half passage
+        # a word counts once in a half passage; without any rare word the common ones may still be enough
         key = np.unique((half * self.rare + term)[term < self.rare])
-        if not len(key):
-            return none
-        in_half, few = np.divmod(key, self.rare)
         mass = np.zeros((n_halves, COARSE), dtype=np.float32)
-        here = np.flatnonzero(np.concatenate([[True], in_half[1:] != in_half[:-1]]))
-        mass[in_half[here]] = np.add.reduceat(self.coarse[few], here, axis=0)
-        mass[:-1] += np.where(last[:-1, None], np.float32(0), mass[1:])
+        if len(key):
+            in_half, few = np.divmod(key, self.rare)
+            here = np.flatnonzero(np.concatenate([[True], in_half[1:] != in_half[:-1]]))
+            mass[in_half[here]] = np.add.reduceat(self.coarse[few], here, axis=0)
+            mass[:-1] += np.where(last[:-1, None], np.float32(0), mass[1:])
         passage = np.flatnonzero((mass + self.common).max(1) >= threshold - 1e-4)
         if not len(passage):
             return none
@@ -227,8 +226,9 @@ def contaminated(
     """One row for each text and test item it holds: ``id``, ``item``, ``score``, ``question_overlap``,
     ``answer_overlap``, ``passage`` (its first word).
 
-    Null and empty texts and items match nothing.  Repeated rows of either table give repeated matches; extra columns
-    are ignored; an empty benchmark or table gives no rows.
+    Null and empty texts and items match nothing.  Repeated rows of either table give repeated matches; items of the
+    same words are one in the index, so repeats don't make their words common.  Extra columns are ignored; an empty
+    benchmark or table gives no rows.
     """
     rows = spread_scan(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("text is not null")
@@ -236,22 +236,28 @@ def contaminated(
     schema = f"id {kinds['id']}, item {kinds['item']}, score double, question_overlap double, answer_overlap double, passage int"
     context, found = docs.sparkSession.sparkContext, None
     for shard in _shards(items, shard_chars):
-        parts = [(r["id"], question_and_answer(r["text"])) for r in shard]
-        parts = [(i, p) for i, p in parts if p[0]]
-        shared = context.broadcast(Index([i for i, _ in parts], [p for _, p in parts]))
+        owners: dict[tuple, list] = {}
+        for r in shard:
+            question, answer = question_and_answer(r["text"])
+            if question:
+                owners.setdefault((tuple(question), tuple(answer)), []).append(r["id"])
+        shared = context.broadcast(Index(list(owners.values()), [(list(q), list(a)) for q, a in owners]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            ids = pa.array(index.ids)
+            ids = pa.array([i for own in index.ids for i in own])
+            size = np.array([len(own) for own in index.ids], dtype=np.int64)
+            first_id = np.cumsum(size) - size
             for batch in batches:
                 texts = texts_of(batch.column(1))
                 sizes = np.cumsum([len(t) for t in texts])
                 for at in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes // CHARS_AT_ONCE)) + 1):
                     hits = list(matches([texts[k] for k in at], index, threshold, least)) if len(at) and index.ids else []
                     if hits:
-                        text, item, score, q, a, first = zip(*hits)
+                        text, item, score, q, a, first = map(np.array, zip(*hits))
+                        each = np.repeat(np.arange(len(item)), size[item])
                         yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pa.array(at[list(text)])), ids.take(pa.array(item)), pa.array(score), pa.array(q), pa.array(a), pa.array(first, pa.int32())],
+                            [batch.column(0).take(pa.array(at[text[each]])), ids.take(pa.array(_ranges(first_id[item], size[item]))), *(pa.array(x[each]) for x in (score, q, a)), pa.array(first[each], pa.int32())],
                             ["id", "item", "score", "question_overlap", "answer_overlap", "passage"],
                         )
 

@@ -327,3 +327,20 @@ def test_repeated_lines_count_once(spark):
     exact = components(range(8), [(a, b) for a in range(8) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
     assert exact[1] == 1 and exact[4] == 2 and exact[7] == 2
     assert {r.id: r.component for r in simhash.similar_documents(docs).collect()} == exact
+
+
+def test_a_benchmark_of_repeated_rows(spark):
+    rng = np.random.default_rng(10)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 20)) + ". " + " ".join(f"w{x}" for x in rng.integers(0, 10**6, 8)) for _ in range(20)]
+    docs = spark.createDataFrame([(k, "and so on " * 20 + t + " and so on") for k, t in enumerate(texts)] + [(99, "and so on " * 50)], "doc_id long, text string").coalesce(1)
+    twice = spark.createDataFrame([(100 * c + k, t) for c in (1, 2) for k, t in enumerate(texts)] + [(101, texts[1])], "item_id long, text string")
+    found = sorted((r.id, r.item) for r in decontaminate.contaminated(docs, twice).collect())
+    assert found == sorted([(k, 100 * c + k) for c in (1, 2) for k in range(20)] + [(1, 101)])
+
+
+def test_items_of_common_words_only():
+    words = [f"c{k}" for k in range(12)]
+    items = [([words[(s + k) % 12] for k in range(6)], [words[(s + 6) % 12]]) for s in range(12)]
+    index = decontaminate.Index(list(range(12)), items)
+    assert index.rare == 0
+    assert (0, 3) in {(t, i) for t, i, *_ in decontaminate.matches([" ".join(items[3][0] + items[3][1])], index, 0.5, 0.8)}
