@@ -355,7 +355,8 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 16, block: int = BLOCK) -> DataFrame:
-    """``id``, ``digest`` (of the text) and ``component`` of every row, for word-shingle similarities from ``similarity`` up.
+    """``id``, ``digest`` (of the text), ``component`` and ``first`` (digest of the component's text of the smallest id)
+    of every row, for word-shingle similarities from ``similarity`` up.
 
     Two sets of Jaccard similarity s have about the cosine 2s / (1 + s), and a SimHash bit differs with the probability
     angle / pi.  Over ``64 * lanes`` bits, distances up to three standard deviations above what ``similarity`` gives are
@@ -399,5 +400,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         texts = texts_of_nodes(segments.select("node"))
         links = links.unionByName(materialize(_dense_links(segments.join(texts, "node"), budget, words, similarity), "wide-dense"))
         linked = connected_components(links)
-    named = _component_ids(nodes.select("node", "rep"), "node", linked)
-    return marked.join(named, "node", "left").select("id", "digest", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
+    rooted = nodes.join(linked, "node", "left").select("node", "rep", "digest", F.coalesce("component", "node").alias("root"))
+    rooted = materialize(rooted, "wide-rooted")
+    least = rooted.groupBy("root").agg(F.min(F.struct("rep", "digest")).alias("first"))
+    named = rooted.join(least, "root").select("node", F.col("first.rep").alias("component"), F.col("first.digest").alias("first"))
+    known = F.col("id").isNotNull()
+    return marked.join(named, "node", "left").select("id", "digest", *(F.when(known, F.col(c)).alias(c) for c in ("component", "first")))

@@ -30,17 +30,22 @@ def _without(docs: DataFrame, keys: DataFrame, key: F.Column) -> DataFrame:
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id.
 
-    Five-word shingles and a similarity of 0.8.  Of rows with the same id one stays; rows with a null id stay.
+    Five-word shingles and a similarity of 0.8.  It is decided by id and text: of repeated rows one stays, of an id
+    with different texts those that are no near copies stay.  Rows with a null id stay.
     """
     groups = materialize(simhash.similar_documents(docs), "groups")
-    gone = materialize(groups.where("component < id").select(F.col("id").alias("_key")).distinct(), "near-copies")
-    kept = _without(docs, gone, F.col("doc_id"))
-    again = materialize(groups.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_key")), "repeated-ids")
+    known = groups.where("id is not null").withColumn("_key", F.struct("id", "digest"))
+    gone = materialize(known.where("component < id or digest <> first").select("_key").distinct(), "near-copies")
+    key = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("digest"))
+    kept = _without(docs, gone, key)
+    again = known.where("component = id and digest = first").groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    again = materialize(again.where("n > 1").select("_key"), "repeated-rows")
     if not again.take(1):
         return kept
-    once = _without(kept, again, F.col("doc_id"))
-    repeated = kept.join(again.withColumnRenamed("_key", "doc_id"), "doc_id", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
-    return once.unionByName(repeated.dropDuplicates(["doc_id"]))
+    side = F.broadcast(again) if fits_broadcast(again) else again
+    once = _without(kept, again, key)
+    repeated = kept.withColumn("_key", key).join(side, "_key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

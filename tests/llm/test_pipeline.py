@@ -40,3 +40,13 @@ def test_run_keeps_each_document_once(spark, small):
     rows = corpus_pipeline.run(spark, small).collect()
     assert len({r.doc_id for r in rows}) == len(rows) > 0 and all(r.rate > 0.5 for r in rows)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "pii", "mixing"]
+
+
+def test_near_copies_under_a_repeated_id(spark):
+    text = lambda c: " ".join(f"{c}{k}" for k in range(200))
+    near = text("a").replace("a100", "changed")
+    rows = [(1, text("a")), (5, near), (5, text("b")), (6, text("c")), (6, text("d")), (7, text("e")), (7, text("e").replace("e9 ", "x ")), (8, text("f")), (8, text("f")), (None, text("a"))]
+    kept = stages.without_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(found) == len(set(found)) == 7 and sum(i == 7 for i, _ in found) == 1
+    assert {(1, text("a")), (5, text("b")), (6, text("c")), (6, text("d")), (8, text("f")), (None, text("a"))} < set(found)
