@@ -66,7 +66,8 @@ def scan_groups(rows: DataFrame, keys: list[str], fn: Callable[[pa.RecordBatch,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            whole = batch if rest is None or not rest.num_rows else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            batch = wide_strings(batch)
+            whole = batch if rest is None or not rest.num_rows else joined_batches([rest, batch])
             if not whole.num_rows:
                 continue
             starts = _starts(whole, keys)
@@ -79,6 +80,20 @@ def scan_groups(rows: DataFrame, keys: list[str], fn: Callable[[pa.RecordBatch,
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def wide_strings(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with 64-bit offsets in its string columns, so that a group may hold more than 2 GB of text."""
+    wide = [c.cast(pa.large_string()) if pa.types.is_string(c.type) else c for c in batch.columns]
+    return pa.RecordBatch.from_arrays(wide, batch.schema.names)
+
+
+def joined_batches(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """All rows of the batches in one; an error rather than a second chunk."""
+    chunks = pa.Table.from_batches(batches).combine_chunks().to_batches()
+    if len(chunks) != 1 or chunks[0].num_rows != sum(b.num_rows for b in batches):
+        raise ValueError("a group does not fit one batch")
+    return chunks[0]
+
+
 def _starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     new = np.zeros(batch.num_rows, dtype=bool)
     new[0] = True

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexispark.llm import decontaminate, extraction, language, mixing, pii, quality, simhash, stages, tokens, toxicity, vectors
+from lexispark.llm import decontaminate, extraction, filters, language, lm, mixing, pii, quality, simhash, spelling, stages, tokens, toxicity, vectors
 from lexispark.llm.common import crc_fold, table
 
-#: The fold, of 4, that languages and quality are not learnt from.
+#: The fold, of 4 or (language model) 7, that is not learnt from.
 HELD_OUT = 2
+#: File name of the vocabulary whose pieces the language model is over.
+LM_VOCABULARY = "piece_bpe_32k.model"
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +77,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= stages.TOXIC).cast("int").alias("predicted"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_fold("doc_id", 7) == HELD_OUT
+    model = lm.train(docs.where(~held_out), lm.Vocabulary.load(public_tokenizers.path(LM_VOCABULARY)))
+    return lm.scores(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_language, op2_simhash, op3_mixing, op4_quality, op5_embedding_dedup, op6_token_counts, op7_pii, op8_decontamination, op9_html_text, op10_toxicity
+        op1_language, op2_simhash, op3_mixing, op4_quality, op5_embedding_dedup, op6_token_counts, op7_pii, op8_decontamination, op9_html_text, op10_toxicity,
+        op11_filter_audit, op12_spelling_variants, op13_lm_scoring,
     )
     return {f.__name__: f for f in found}
