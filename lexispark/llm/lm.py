@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -39,13 +40,14 @@ PRIOR_PIECES = 1000.0
 ROUNDS = 2
 #: Words with at least this part of all training tokens are looked up in the task: there are no more of them than its
 #: inverse.  The others meet their counts in a join.
-HOT_PART = 1e-4
+HOT_PART = 1e-5
 #: Characters up to which a word may be sent to all tasks.
 HOT_LETTERS = 256
 #: Distinct words a task counts, or remembers the probability of, before it begins anew.
 HELD_WORDS = 200_000
-#: Characters of words whose lattices are built together.
-TOGETHER = 1 << 18
+#: Characters of words whose lattices are built together, and of texts that are scored together.
+TOGETHER = 1 << 16
+SCORED_TOGETHER = 1 << 18
 
 
 def words_of(text: str | None) -> list[str]:
@@ -112,6 +114,9 @@ class Lattice:
         keys = np.array(list(step), dtype=np.int64)
         order = np.argsort(keys)
         self.keys, self.states = keys[order], np.array(list(step.values()), dtype=np.int64)[order]
+        # what follows the root: most letters begin some piece
+        self.from_root = np.full(len(letters) + 1, -1, dtype=np.int64)
+        self.from_root[self.keys[self.keys < len(letters)]] = self.states[self.keys < len(letters)]
         self.piece_of = np.array(piece_of, dtype=np.int64)
         self.longest = max(map(len, pieces))
 
@@ -119,9 +124,12 @@ class Lattice:
         """Begin, end and piece of each arc; ``chars`` of all words end to end, ``end`` the end of each one's word."""
         code = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)
         code = np.where(self.letters[code] == chars, code, -1)
-        at, state = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int64)
-        found = []
-        for k in range(self.longest):
+        state = self.from_root[code]
+        at = np.flatnonzero(state >= 0)
+        state = state[at]
+        whole = self.piece_of[state] >= 0
+        found = [(at[whole], at[whole] + 1, self.piece_of[state[whole]])]
+        for k in range(1, self.longest):
             inside = at + k < end[at]
             at, state = at[inside], state[inside]
             c = code[at + k]
@@ -153,7 +161,7 @@ class Lattice:
         word = owner[begin]
         source, target = begin + word, stop + word
         place = begin - first[word]
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(place.astype(np.uint16 if len(chars) < 1 << 16 else np.int64), kind="stable")
         source, target, weight, place = source[order], target[order], weight[order], place[order]
         cuts = np.searchsorted(place, np.arange(int(size.max(initial=0)) + 1))
         start, final = first + np.arange(len(words)), first + np.arange(len(words)) + size
@@ -269,6 +277,15 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", round
     return Model(vocabulary, logs, counts, {r["word"]: r["n"] for r in hot.collect()}, n_docs, tokens, distinct)
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts that are scored together, and where they begin; a longer text is alone."""
+    size, a = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 0
+    while a < len(size):
+        b = a + max(1, int(np.searchsorted(np.cumsum(size[a:]), SCORED_TOGETHER, side="right")))
+        yield a, texts.slice(a, b - a).to_pylist()
+        a = b
+
+
 def scores(docs: DataFrame, model: Model, carried: dict[str, Column], text_col: str = "text") -> DataFrame:
     """The ``carried`` columns of each row with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -291,29 +308,35 @@ def scores(docs: DataFrame, model: Model, carried: dict[str, Column], text_col:
         hot_base = {w: float(np.log10(n + 1)) - below for w, n in hot.items()}
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts = [Counter(words_of(t)) for t in batch.column("text").to_pylist()]
-            new = list({w for c in texts for w in c} - remembered.keys())
-            if len(remembered) + len(new) > HELD_WORDS:
-                remembered.clear()
-                new = list({w for c in texts for w in c})
-            for a, b in lattice.pieces_of(new):
-                remembered.update(zip(new[a:b], lattice.run(new[a:b])[0].tolist()))
-            rows = []
-            for c in texts:
-                n, known, base, score, rare = 1, known_end, base_end, log_end, []
-                for w, k in c.items():
-                    n += k
-                    score += k * remembered[w]
-                    if w in hot_base:
-                        known += k
-                        base += k * hot_base[w]
-                    else:
-                        rare.append({"word": w, "k": k})
-                rows.append((key, n, known, base, score / np.log(10), rare))
-                key += 1
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))]
-            out = [pa.array(x, t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], columns)
+            for start, texts in _slices(batch.column("text")):
+                counted = [Counter(words_of(t)) for t in texts]
+                new = list({w for c in counted for w in c} - remembered.keys())
+                if len(remembered) + len(new) > HELD_WORDS:
+                    remembered.clear()
+                    new = list({w for c in counted for w in c})
+                for a, b in lattice.pieces_of(new):
+                    remembered.update(zip(new[a:b], lattice.run(new[a:b])[0].tolist()))
+                rare_words, rare_counts, offsets, rows = [], [], [0], []
+                for c in counted:
+                    n, known, base, score = 1, known_end, base_end, log_end
+                    for w, k in c.items():
+                        n += k
+                        score += k * remembered[w]
+                        if w in hot_base:
+                            known += k
+                            base += k * hot_base[w]
+                        else:
+                            rare_words.append(w)
+                            rare_counts.append(k)
+                    offsets.append(len(rare_words))
+                    rows.append((key, n, known, base, score / np.log(10)))
+                    key += 1
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+                out = [pa.array(x, t) for x, t in zip(zip(*rows), types)]
+                rare = pa.StructArray.from_arrays([pa.array(rare_words, pa.string()), pa.array(rare_counts, pa.int64())], ["word", "k"])
+                out.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare))
+                old = batch.slice(start, len(texts)).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*old, *out], columns)
 
     added = "key long, n_tokens long, known long, base double, score double, rare array<struct<word: string, k: long>>"
     schema = T.StructType([*source.drop("text").schema, *T.StructType.fromDDL(added)])
