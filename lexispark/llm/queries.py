@@ -28,9 +28,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    found = mixing.soft_mix(docs, stages.labelled_domains(spark, docs, sf_dir), stages.SHARES)
-    return found.drop("text", "lang")
+    docs = table(spark, sf_dir, "documents")
+    return mixing.soft_mix(docs, stages.labelled_domains(spark, docs, sf_dir), stages.SHARES, keep=["doc_id", "source"])
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

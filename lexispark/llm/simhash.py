@@ -206,18 +206,21 @@ def _component_ids(nodes: DataFrame, key: str, linked: DataFrame) -> DataFrame:
     return rooted.join(least, "root").select(key, "component")
 
 
-def _segments(nodes: DataFrame, lanes: int, block: int) -> DataFrame:
-    """One row per 16-bit segment of ``nodes(node, bits array<long>)``, with the 64 bits that follow it in the ring."""
+def _segments(nodes: DataFrame, lanes: int, block: int, part: tuple[int, int] | None = None) -> DataFrame:
+    """One row per 16-bit segment of ``nodes(node, component, bits array<long>)``, with the 64 bits that follow it in the ring.
+
+    ``part`` is a range of lanes (None: all).
+    """
     per_lane = 4
     pieces = []
-    for lane in range(lanes):
+    for lane in range(*(part or (0, lanes))):
         this, after = F.col("bits")[lane], F.col("bits")[(lane + 1) % lanes]
         for s in range(per_lane):
             by = 16 * (s + 1)
             head = F.shiftrightunsigned(this, 48 - 16 * s).bitwiseAND(F.lit(0xFFFF))
             tail = after if by == 64 else F.shiftleft(this, by).bitwiseOR(F.shiftrightunsigned(after, 64 - by))
             pieces.append(F.struct(head.bitwiseOR(F.lit((lane * per_lane + s) << 16)).cast("int").alias("bucket"), tail.alias("tail")))
-    rows = nodes.select("node", F.explode(F.array(*pieces)).alias("p")).select("node", F.col("node").alias("component"), "p.bucket", "p.tail")
+    rows = nodes.select("node", "component", F.explode(F.array(*pieces)).alias("p")).select("node", "component", "p.bucket", "p.tail")
     return block_rows(rows, "bucket", "node", block)
 
 
@@ -240,8 +243,8 @@ def _chained(batch: pa.RecordBatch, starts: np.ndarray, budget: float) -> Iterat
 def wide_candidates(rows: DataFrame, budget: float, forests: bool = True) -> DataFrame:
     """What the groups of ``rows`` (of ``_segments``) have to be compared: pairs ``(a, b)``, and members of dense groups.
 
-    A group of at most ``DENSE`` pairs a row gives all of them.  A denser one gives a spanning forest of its shortest
-    pairs (none without ``forests``), and its rows that are in any pair (``b`` null), for what is still open when the
+    A group of at most ``DENSE`` pairs a row gives all of them.  A denser one gives a spanning forest of its pairs to
+    leading nodes (none without ``forests``), and its rows that are in any pair (``b`` null), for what is still open when the
     forest has been verified.
     """
 
@@ -249,19 +252,18 @@ def wide_candidates(rows: DataFrame, budget: float, forests: bool = True) -> Dat
         n = batch.num_rows
         size = np.diff(np.append(starts, n))
         group, passed, paired = np.repeat(np.arange(len(starts)), size), np.zeros(len(starts), dtype=np.int64), np.zeros(n, dtype=bool)
-        found = [(np.zeros(0, dtype=np.int64),) * 3]
+        found, node = [(np.zeros(0, dtype=np.int64),) * 3], batch.column("node").to_numpy()
 
         def thin(i: np.ndarray, j: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, ...]:
             many = (passed > DENSE * size)[group[i]]
             few, rest = (i[~many], j[~many], seen[~many]), (i[many], j[many], seen[many])
-            return tuple(np.concatenate(x) for x in zip(few, _closest(n, *rest))) if forests else few
+            return tuple(np.concatenate(x) for x in zip(few, _to_leaders(node, *rest, 2.5 * budget))) if forests else few
 
         for i, j, seen in _chained(batch, starts, budget):
             passed += np.bincount(group[i], minlength=len(starts))
             paired[i] = paired[j] = True
             found.append(thin(i, j, seen))
         i, j, _ = thin(*(np.concatenate(f) for f in zip(*found)))
-        node = batch.column("node").to_numpy()
         members = batch.filter(pa.array((passed > DENSE * size)[group] & paired))
         empty = [pa.nulls(len(i), members.schema.field(c).type) for c in MEMBER]
         pairs = [pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j])), *empty]
@@ -331,9 +333,14 @@ def _similar(p: frozenset, q: frozenset, similarity: float) -> bool:
     return shared >= similarity * (len(p) + len(q) - shared)
 
 
-def _closest(n: int, i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The spanning forest of the shortest links, with their distances."""
-    order = np.argsort(apart, kind="stable")
+def _to_leaders(node: np.ndarray, i: np.ndarray, j: np.ndarray, apart: np.ndarray, near: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest of the links that ties rows to the smallest node they may link to, ``near`` ones first.
+
+    The same node leads its copies in every segment and every pair of blocks it is in, so the links of all of them are
+    the same few and merge.
+    """
+    n = len(node)
+    order = np.lexsort((np.maximum(node[i], node[j]), np.minimum(node[i], node[j]), apart > near))
     i, j, apart = i[order], j[order], apart[order]
     a, b, at = forest(n, i, j)
     return a, b, apart[at]
@@ -354,6 +361,12 @@ def _jaccard(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _parts(lanes: int) -> list[tuple[int, int]]:
+    """Ranges of lanes that are compared one after the other: one lane, some, the rest."""
+    cuts = sorted({0, min(1, lanes), min(4, lanes), lanes})
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, lanes: int = 16, block: int = BLOCK) -> DataFrame:
     """``id``, ``digest`` (of the text), ``component`` and ``first`` (digest of the component's text of the smallest id)
     of every row, for word-shingle similarities from ``similarity`` up.
@@ -384,22 +397,27 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         texts = texts_of_nodes(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         return _jaccard(pairs, texts, words, similarity)
 
-    segments, links = _segments(nodes, lanes, block), None
-    for forests in (True, False):
+    def compared(segments: DataFrame, links: DataFrame | None, forests: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """All verified links after these segments, the components they make, and the members of dense groups."""
         found = materialize(wide_candidates(segments, budget, forests), "wide-candidates")
         new = materialize(verified(found.where("b is not null").select("a", "b")), "wide-verified")
         links = new if links is None else links.unionByName(new)
-        linked = materialize(connected_components(links), "wide-components")
-        members = found.where("b is null").select(F.col("a").alias("node"), *MEMBER)
-        if not members.take(1):
-            break
+        return links, materialize(connected_components(links), "wide-components"), found.where("b is null").select(F.col("a").alias("node"), *MEMBER)
+
+    # near copies meet in most segments; those that the first lanes join are one component when the others are compared
+    links = linked = members = None
+    for part in _parts(lanes):
+        named = nodes.withColumn("component", F.col("node")) if linked is None else nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        links, linked, dense = compared(_segments(named, lanes, block, part), links, True)
+        members = dense if members is None else members.unionByName(dense)
+    segments = _open_groups(members, linked)
+    if segments.take(1):
+        links, linked, members = compared(segments, links, False)
         segments = _open_groups(members, linked)
-        if not segments.take(1):
-            break
-    else:
-        texts = texts_of_nodes(segments.select("node"))
-        links = links.unionByName(materialize(_dense_links(segments.join(texts, "node"), budget, words, similarity), "wide-dense"))
-        linked = connected_components(links)
+        if segments.take(1):
+            texts = texts_of_nodes(segments.select("node"))
+            links = links.unionByName(materialize(_dense_links(segments.join(texts, "node"), budget, words, similarity), "wide-dense"))
+            linked = connected_components(links)
     rooted = nodes.join(linked, "node", "left").select("node", "rep", "digest", F.coalesce("component", "node").alias("root"))
     rooted = materialize(rooted, "wide-rooted")
     least = rooted.groupBy("root").agg(F.min(F.struct("rep", "digest")).alias("first"))

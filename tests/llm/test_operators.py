@@ -344,3 +344,51 @@ def test_items_of_common_words_only():
     index = decontaminate.Index(list(range(12)), items)
     assert index.rare == 0
     assert (0, 3) in {(t, i) for t, i, *_ in decontaminate.matches([" ".join(items[3][0] + items[3][1])], index, 0.5, 0.8)}
+
+
+def projected_least_squares(mass, p, aim, steps):
+    """The totals after plain projected gradient steps."""
+    x = p * mass[:, None] ** 0.5 / mass.sum() ** 0.5
+    rate, size = np.ones(len(mass)), 1 / np.linalg.norm(x, 2) ** 2
+    for _ in range(steps):
+        rate = np.maximum(0, rate - size * p @ (((p * mass[:, None]).T @ rate - aim) / mass.sum()))
+    return (p * mass[:, None]).T @ rate
+
+
+@pytest.mark.parametrize("aim, reached", [([0.3, 2.0, 0.4], True), ([1.0, 1.0, 1.0], True), ([0.0, 3.0, 0.0], False)])
+def test_rates_that_meet_their_bound(spark, aim, reached):
+    rng = np.random.default_rng(6)
+    mass = rng.integers(0, 50, 200).astype(float)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 200) * 0.9 + 0.1 / 3
+    aim = np.array(aim) * mass.sum() / 3
+    stored = spark.createDataFrame([(float(m), [float(v) for v in q]) for m, q in zip(mass, p)], "tokens double, p array<double>").coalesce(1)
+    history, gap = mixing.fit_rates(stored, aim.tolist(), (aim / aim.sum()).tolist())
+    rows = stored.withColumn("rate", mixing._rate(history)).collect()
+    total = sum(r.rate * r.tokens * np.array(r.p) for r in rows)
+    slow = projected_least_squares(mass, p, aim, 20_000 if reached else mixing.STEPS)
+    assert min(r.rate for r in rows) >= 0 and abs(gap - np.abs(total - aim).sum() / aim.sum()) < 1e-6
+    assert np.linalg.norm(total - aim) <= np.linalg.norm(slow - aim) * 1.05 + 1e-5 * aim.sum()
+    # the first targets bind: some rates are 0, yet the totals are met
+    assert (gap < 1e-5) == reached and (min(r.rate for r in rows) == 0) == (aim[0] != aim[2])
+
+
+def test_mixing_keeps_the_callers_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 5), (1, "a b", "x", 5), (2, None, "y", 6)], "doc_id long, text string, _key string, rate int").withColumn("row", F.lit(1))
+    found = mixing.soft_mix(docs, docs.select("text", F.lit("u").alias("domain")), {"u": 1, "v": 0}, tokens=2.0).collect()
+    assert sorted(r._key for r in found) == ["x", "x", "y"] and {r.row for r in found} == {1} and all(isinstance(r.rate, float) for r in found)
+
+
+def test_classifier_bound_holds_with_repeated_texts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LABELLED_ROWS", 3)
+    rows = spark.createDataFrame([("same words", "a")] * 50 + [(f"other{k}", "b") for k in range(20)], "text string, domain string")
+    logs, prior = mixing.classifier(rows, ["a", "b"], "text", "domain")
+    assert np.allclose(np.exp(logs).sum(1), 1) and 2 < 5 * (np.exp(prior).sum()) < 6
+
+
+def test_groups_keep_all_chunks(spark):
+    from lexispark.llm import common
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 3), pa.array(["x" * 10] * 3)], ["k", "t"])
+    whole = common.joined_batches([common.wide_strings(batch), common.wide_strings(batch)])
+    assert whole.num_rows == 6 and pa.types.is_large_string(whole.schema.field("t").type)
