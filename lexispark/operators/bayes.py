@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from lexispark.operators.rows import scored_rows, theta_matrix
 from lexispark.operators.scoring import linear_scores, predicted
 
 
@@ -55,3 +56,10 @@ def predict_complement_nb(docs: DataFrame, weights: DataFrame, theta: DataFrame,
                           out: str = "predicted") -> DataFrame:
     scored = linear_scores(docs, weights, theta, key, len(classes), None, keep, max_terms, feature)
     return scored.select(key, *keep, predicted(F.col("scores"), classes).alias(out))
+
+
+def predict_rows(rows: DataFrame, theta: DataFrame, key: str, classes: Sequence, n_features: int,
+                 keep: Sequence[str] = (), out: str = "predicted") -> DataFrame:
+    """The same for rows ``(key, idx, w)``, scored in place; for models that may be sent to the tasks."""
+    scored = scored_rows(rows, theta_matrix(theta, n_features, len(classes)), None, (key, *keep))
+    return scored.select(key, *keep, predicted(F.col("scores"), classes).alias(out))

@@ -14,6 +14,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark.functions.arithmetic import weighted_sums
+from lexispark.operators.rows import scored_rows
 from lexispark.operators.scoring import linear_scores, predicted
 from lexispark.operators.split import epoch_batches
 from lexispark.session import bounded_broadcast, class_values, materialize, spread
@@ -274,7 +275,6 @@ def fit_multinomial(vectors: DataFrame, label: str, c: float = 1.0, balanced: bo
 
 def predict_rows(model: LinearModel, rows: DataFrame, key: str, keep: Sequence[str] = (), out: str = "predicted"
                  ) -> DataFrame:
-    """Predictions for rows in the layout ``idx, w`` (dense vectors included)."""
-    positions = rows.select(key, F.explode(F.arrays_zip("idx", "w")).alias("_p")).select(
-        key, (F.col("_p.idx") + 1).alias("rank"), F.col("_p.w").alias("w"))
-    return predict_linear(model, rows, positions, key, keep, out)
+    """Predictions for rows in the layout ``idx, w`` (dense vectors included), scored in place."""
+    scored = scored_rows(rows, model.weights.T, model.bias, (key, *keep))
+    return scored.select(key, *keep, predicted(F.col("scores"), model.classes).alias(out))

@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from lexispark.operators.cleaning import CleaningConfig, preprocess
-from lexispark.operators.vocabulary import (
-    TfidfConfig, by_document, fit_vocabulary, sparse_rows, term_counts, tfidf,
-)
+from lexispark.operators import rows as R
+from lexispark.operators.vocabulary import TfidfConfig, fit_vocabulary, sparse_rows, tfidf
 from lexispark.session import materialize
 
 IS_TRAIN = "is_train"
@@ -19,16 +18,31 @@ IS_TRAIN = "is_train"
 class TextFeatures:
     """Tables shared by fitting and scoring, stored once in the shared folder.
 
-    ``docs(key, label, is_train)``, ``counts(key, is_train, term, tf)``,
-    ``vocab(term, df, cf, rank, idf)`` and ``weights(key, label, is_train, rank, w)``.    """
+    ``docs(key, label, is_train)``, ``counted(key, label, is_train, terms, tf)``,
+    ``vocab(term, df, cf, rank, idf)`` and ``rows(key, label, is_train, idx, w)``, one row per document each.
+    """
 
     key: str
     label: str
     cfg: TfidfConfig
     docs: DataFrame
-    counts: DataFrame
+    counted: DataFrame
     vocab: DataFrame
-    weights: DataFrame
+    rows: DataFrame
+
+    @property
+    def columns(self) -> tuple[str, str, str]:
+        return self.key, self.label, IS_TRAIN
+
+    @property
+    def counts(self) -> DataFrame:
+        """``(key, label, is_train, term, tf)``."""
+        return R.long_counts(self.counted, self.columns)
+
+    @property
+    def weights(self) -> DataFrame:
+        """``(key, label, is_train, rank, w)``."""
+        return R.long_weights(self.rows, self.columns)
 
     @property
     def n_features(self) -> int:
@@ -53,28 +67,35 @@ class TextFeatures:
         return self.docs.where(f"not {IS_TRAIN}")
 
     def train_rows(self) -> DataFrame:
-        return sparse_rows(self.train_weights, self.train_docs, self.key, (self.label,))
+        return self.rows.where(IS_TRAIN).select(self.key, self.label, "idx", "w")
 
     def test_rows(self) -> DataFrame:
-        return sparse_rows(self.test_weights, self.test_docs, self.key, (self.label,))
+        return self.rows.where(f"not {IS_TRAIN}").select(self.key, self.label, "idx", "w")
 
 
 def text_features(train: DataFrame, test: DataFrame, key: str, text: str, label: str,
                   cfg: TfidfConfig = TfidfConfig(), cleaning: CleaningConfig | None = None) -> TextFeatures:
     """Fit on ``train``, transform both.  ``test`` may carry the label, for evaluation only.
 
-    With ``cleaning`` the text is cleaned after the documents are placed, in the stage that counts
-    the terms.
+    With ``cleaning`` the text is cleaned in the stage that counts the terms.  Documents are not shuffled: a vocabulary
+    within the broadcast limit is applied inside the row, a larger or unbounded one by joins on the term.
     """
     kind = train.schema[label].dataType
     truth = F.col(label) if label in test.columns else F.lit(None)
     both = train.select(key, text, label, F.lit(True).alias(IS_TRAIN)).unionByName(
         test.select(key, text, truth.cast(kind).alias(label), F.lit(False).alias(IS_TRAIN)))
-    docs = materialize(both.select(key, label, IS_TRAIN), "docs")
-    placed = by_document(both, key)
     if cleaning is not None:
-        placed = preprocess(placed, key, text, cleaning, out=text)
-    counts = materialize(term_counts(placed, key, text, cfg, (label, IS_TRAIN)), "counts")
-    vocab = materialize(fit_vocabulary(docs.where(IS_TRAIN), counts.where(IS_TRAIN), cfg), "vocabulary")
-    weights = tfidf(counts, vocab, key, cfg, (IS_TRAIN,)).select(key, label, IS_TRAIN, "rank", "w")
-    return TextFeatures(key, label, cfg, docs, counts, vocab, materialize(weights, "weights"))
+        both = preprocess(both, key, text, cleaning, out=text)
+    columns = (key, label, IS_TRAIN)
+    counted = materialize(R.counted_rows(both, text, cfg, columns), "counted")
+    docs = counted.select(*columns)
+    train_counts = R.long_counts(counted.where(IS_TRAIN), columns)
+    vocab = materialize(fit_vocabulary(docs.where(IS_TRAIN), train_counts, cfg), "vocabulary")
+    return TextFeatures(key, label, cfg, docs, counted, vocab, materialize(_rows(counted, docs, vocab, cfg, key, columns), "rows"))
+
+
+def _rows(counted: DataFrame, docs: DataFrame, vocab: DataFrame, cfg: TfidfConfig, key: str, columns: tuple[str, ...]) -> DataFrame:
+    if R.fits_row(cfg):
+        return R.weighted_rows(counted, vocab, cfg, columns)
+    weights = tfidf(R.long_counts(counted, columns), vocab, key, cfg, (IS_TRAIN,))
+    return sparse_rows(weights.select(key, "rank", "w"), docs, key, columns[1:])

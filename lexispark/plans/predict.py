@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from lexispark.operators import bayes, knn, linear, reduce as svd, trees
-from lexispark.operators.vocabulary import feature_size_sweep, sparse_rows, tfidf
-from lexispark.plans.features import IS_TRAIN, TextFeatures
-from lexispark.session import class_values, materialize
+from lexispark.operators.rows import truncated
+from lexispark.plans.features import TextFeatures
+from lexispark.session import BROADCAST_CELLS, class_values, materialize
 
 
 def as_prediction_file(predicted: DataFrame, key: str) -> DataFrame:
@@ -25,18 +25,20 @@ def as_prediction_file(predicted: DataFrame, key: str) -> DataFrame:
 def complement_nb(f: TextFeatures, alpha: float = 1.0, norm: bool = False) -> DataFrame:
     classes = class_values(f.train_docs, f.label)
     theta = bayes.fit_complement_nb(f.train_weights, classes, f.label, alpha, norm, "rank")
+    if f.cfg.max_features is not None and f.cfg.max_features * len(classes) <= BROADCAST_CELLS:
+        return bayes.predict_rows(f.test_rows(), theta, f.key, classes, f.cfg.max_features, (f.label,))
     return bayes.predict_complement_nb(f.test_docs, f.test_weights, theta, f.key, classes, (f.label,),
                                        f.cfg.max_features, "rank")
 
 
 def logistic_sgd(f: TextFeatures, cfg: linear.SgdConfig = linear.SgdConfig()) -> DataFrame:
     model = linear.fit_ovr(f.train_rows(), f.key, f.label, f.n_features, cfg)
-    return linear.predict_linear(model, f.test_docs, f.test_weights, f.key, (f.label,))
+    return linear.predict_rows(model, f.test_rows(), f.key, (f.label,))
 
 
 def logistic_mllib(f: TextFeatures, c: float = 1.0, max_iter: int = 100) -> DataFrame:
     model = linear.fit_ovr_mllib(linear.ml_vectors(f.train_rows(), f.n_features), f.label, "logistic", c, max_iter)
-    return linear.predict_linear(model, f.test_docs, f.test_weights, f.key, (f.label,))
+    return linear.predict_rows(model, f.test_rows(), f.key, (f.label,))
 
 
 def linear_svm(f: TextFeatures, c: float = 1.0, max_iter: int = 100, squared_hinge: bool = False) -> DataFrame:
@@ -44,7 +46,7 @@ def linear_svm(f: TextFeatures, c: float = 1.0, max_iter: int = 100, squared_hin
         model = linear.fit_squared_hinge_svm(f.train_rows(), f.key, f.label, f.n_features, c, epochs=max_iter)
     else:
         model = linear.fit_ovr_mllib(linear.ml_vectors(f.train_rows(), f.n_features), f.label, "svc", c, max_iter)
-    return linear.predict_linear(model, f.test_docs, f.test_weights, f.key, (f.label,))
+    return linear.predict_rows(model, f.test_rows(), f.key, (f.label,))
 
 
 def random_forest(f: TextFeatures, cfg: trees.ForestConfig = trees.ForestConfig()) -> DataFrame:
@@ -62,16 +64,10 @@ def nearest_neighbours(f: TextFeatures, k: int = 2, weighting: str = "distance")
 
 
 def nearest_neighbours_by_size(f: TextFeatures, sizes: Sequence[int], k: int = 2) -> DataFrame:
-    """``(size, key, label, predicted)`` for several vocabulary sizes; the text is counted once."""
-    swept = materialize(
-        feature_size_sweep(f.counts, f.vocab, f.key, sizes, f.cfg, (IS_TRAIN,)).select(
-            "size", f.key, IS_TRAIN, "rank", "w"),
-        "sweep", ("size",))
+    """``(size, key, label, predicted)`` for several vocabulary sizes; the rows are cut to each size in place."""
     parts = []
     for size in sizes:
-        at = swept.where(F.col("size") == size)
-        train = sparse_rows(at.where(IS_TRAIN), f.train_docs, f.key, (f.label,))
-        test = sparse_rows(at.where(f"not {IS_TRAIN}"), f.test_docs, f.key, (f.label,))
+        train, test = truncated(f.train_rows(), size), truncated(f.test_rows(), size)
         found = knn.knn_predict(train, test, f.key, f.label, size, k, keep=(f.label,))
         parts.append(found.select(F.lit(size).alias("size"), *found.columns))
     return reduce(DataFrame.unionByName, parts)
@@ -102,8 +98,6 @@ def svd_logistic(f: TextFeatures, components: int = 100, c: float = 1.0, balance
 
 
 def with_max_features(f: TextFeatures, size: int) -> TextFeatures:
-    """The same features with a smaller vocabulary; the counts are reused, the rows get new norms."""
-    vocab = f.vocab.where(F.col("rank") <= size)
-    cfg = replace(f.cfg, max_features=size)
-    weights = tfidf(f.counts, vocab, f.key, cfg, (IS_TRAIN,)).select(f.key, f.label, IS_TRAIN, "rank", "w")
-    return replace(f, cfg=cfg, vocab=vocab, weights=materialize(weights, "weights"))
+    """The same features with a smaller vocabulary; the rows are cut and get new norms."""
+    return replace(f, cfg=replace(f.cfg, max_features=size), vocab=f.vocab.where(F.col("rank") <= size),
+                   rows=materialize(truncated(f.rows, size), "rows"))

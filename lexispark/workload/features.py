@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark.functions import text as T
 from lexispark.functions.arithmetic import l2_normalized, narrowed, rounded
-from lexispark.operators import vocabulary as V
+from lexispark.operators import rows as R, vocabulary as V
 from lexispark.operators.cleaning import preprocess
 from lexispark.operators.encode import decode_labels, encode_labels
 from lexispark.operators.knn import dense_rows
 from lexispark.operators.reduce import singular_value_table, truncated_svd
-from lexispark.session import class_values
+from lexispark.session import class_values, materialize
 from lexispark.workload import sql as S
 from lexispark.workload.inputs import (
-    CLEANING, KEY, LABEL, STOP_WORDS, TFIDF, documents, features, table, texts, train_documents,
+    CLEANING, KEY, LABEL, STOP_WORDS, TFIDF, documents, features, table, texts, train_texts,
 )
 
 SWEEP = (2000, 1000, 500, 100)
@@ -33,14 +35,19 @@ def _terms(cfg: V.TfidfConfig):
     return run
 
 
+def _counted(docs: DataFrame, cfg: V.TfidfConfig) -> tuple[DataFrame, DataFrame]:
+    """The documents' keys and their term counts, one row per document; stored, as the vocabulary reads it twice."""
+    counted = materialize(R.counted_rows(preprocess(docs, KEY, "text", CLEANING), "cleaned", cfg, (KEY,)), "counted")
+    return counted.select(KEY), counted
+
+
 def _train_counts(spark: SparkSession, sf_dir: str, cfg: V.TfidfConfig = TFIDF) -> tuple[DataFrame, DataFrame]:
-    docs = preprocess(V.by_document(train_documents(spark, sf_dir).select(KEY, "text"), KEY), KEY, "text", CLEANING)
-    return docs, V.term_counts(docs, KEY, "cleaned", cfg)
+    docs, counted = _counted(train_texts(spark, sf_dir), cfg)
+    return docs, R.long_counts(counted, (KEY,))
 
 
 def counted_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = preprocess(V.by_document(documents(spark, sf_dir).select(KEY, "text"), KEY), KEY, "text", CLEANING)
-    return V.term_counts(docs, KEY, "cleaned")
+    return R.long_counts(_counted(texts(spark, sf_dir), V.TfidfConfig())[1], (KEY,))
 
 
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,22 +81,25 @@ def _raw(sublinear: bool):
 
 
 def train_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, counts = _train_counts(spark, sf_dir)
-    w = V.tfidf(counts, V.fit_vocabulary(docs, counts, TFIDF), KEY, TFIDF)
-    return w.select(KEY, "term", rounded(F.col("w")).alias("w"))
+    docs, counted = _counted(train_texts(spark, sf_dir), TFIDF)
+    vocab = materialize(V.fit_vocabulary(docs, R.long_counts(counted, (KEY,)), TFIDF), "vocabulary")
+    w = R.long_weights(R.weighted_rows(counted, vocab, TFIDF, (KEY,)), (KEY,))
+    return w.join(F.broadcast(vocab.select("rank", "term")), "rank").select(KEY, "term", rounded(F.col("w")).alias("w"))
 
 
 def test_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features(spark, sf_dir)
-    return f.test_weights.join(f.vocab.select("rank", "term"), "rank").select(KEY, "term", rounded(F.col("w")).alias("w"))
+    return f.test_weights.join(F.broadcast(f.vocab.select("rank", "term")), "rank").select(KEY, "term", rounded(F.col("w")).alias("w"))
 
 
 def size_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and summed weights of every document for each vocabulary size."""
     f = features(spark, sf_dir)
-    swept = V.feature_size_sweep(f.counts, f.vocab, KEY, SWEEP, TFIDF, ("is_train",))
-    return swept.groupBy(F.col("size").cast("long").alias("size"), KEY).agg(
-        F.count("*").alias("n_terms"), rounded(F.sum("w")).alias("sum_w"), rounded(F.max("w")).alias("max_w"))
+    parts = [R.truncated(f.rows, size).where("size(idx) > 0").select(
+        F.lit(size).cast("long").alias("size"), KEY, F.size("idx").cast("long").alias("n_terms"),
+        rounded(F.aggregate("w", F.lit(0.0), lambda s, x: s + x)).alias("sum_w"), rounded(F.array_max("w")).alias("max_w"))
+        for size in SWEEP]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def text_svd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,10 @@ def train_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), KEY, "left_semi")
 
 
+def train_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return texts(spark, sf_dir).join(table(spark, sf_dir, "labels"), KEY, "left_semi")
+
+
 def test_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), KEY, "left_anti")
 
@@ -68,7 +72,8 @@ def latex_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str, cfg: TfidfConfig = TFIDF) -> TextFeatures:
-    return text_features(train_documents(spark, sf_dir), test_documents(spark, sf_dir), KEY, "text", LABEL, cfg, CLEANING)
+    known = table(spark, sf_dir, "labels")
+    return text_features(train_texts(spark, sf_dir), texts(spark, sf_dir).join(known, KEY, "left_anti"), KEY, "text", LABEL, cfg, CLEANING)
 
 
 def cleaned_train(spark: SparkSession, sf_dir: str) -> DataFrame:

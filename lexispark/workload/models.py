@@ -103,7 +103,7 @@ def ovr_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ovr_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features(spark, sf_dir)
-    return linear.predict_linear(_sgd(f), f.test_docs, f.test_weights, KEY)
+    return linear.predict_rows(_sgd(f), f.test_rows(), KEY)
 
 
 def squared_hinge(spark: SparkSession, sf_dir: str) -> DataFrame:
