@@ -13,7 +13,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lexispark.functions.arithmetic import l2_normalized
 from lexispark.operators.vocabulary import TfidfConfig, terms_column
 from lexispark.session import BROADCAST_ROWS
 
@@ -106,11 +105,29 @@ def weighted_rows(counted: DataFrame, vocab: DataFrame, cfg: TfidfConfig = Tfidf
     return source.mapInArrow(run, _schema(source, keep, "idx array<int>, w array<double>"))
 
 
+def swept_rows(rows: DataFrame, sizes: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
+    """``(size, keep..., idx, w)``: the rows for the first ``size`` terms of the vocabulary alone, for each size, brought to
+    unit length again."""
+    source, names = rows.select(*keep, "idx", "w"), ["size", *keep, "idx", "w"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, row = _flat(batch.column("idx"))
+            at, w = at.to_numpy(zero_copy_only=False), _flat(batch.column("w"))[0].to_numpy(zero_copy_only=False)
+            for size in sizes:
+                fits = at < size
+                of, v = row[fits], w[fits]
+                v = v / np.sqrt(np.bincount(of, v * v, len(batch)))[of]
+                found = [_lists(pa.array(at[fits]), of, len(batch)), _lists(pa.array(v), of, len(batch))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(batch), size, dtype=np.int64)), *batch.columns[:-2], *found], names)
+
+    schema = T.StructType([T.StructField("size", T.LongType()), *source.schema])
+    return source.mapInArrow(run, schema)
+
+
 def truncated(rows: DataFrame, size: int) -> DataFrame:
-    """The rows for the first ``size`` terms of the vocabulary alone, brought to unit length again."""
-    n = F.size(F.filter("idx", lambda i: i < size))
-    others = [c for c in rows.columns if c not in ("idx", "w")]
-    return rows.select(*others, F.slice("idx", F.lit(1), n).alias("idx"), l2_normalized(F.slice("w", F.lit(1), n)).alias("w"))
+    """``swept_rows`` for one size, with all other columns of ``rows``."""
+    return swept_rows(rows, [size], [c for c in rows.columns if c not in ("idx", "w")]).drop("size")
 
 
 def long_weights(rows: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -84,6 +84,12 @@ def text_features(train: DataFrame, test: DataFrame, key: str, text: str, label:
     truth = F.col(label) if label in test.columns else F.lit(None)
     both = train.select(key, text, label, F.lit(True).alias(IS_TRAIN)).unionByName(
         test.select(key, text, truth.cast(kind).alias(label), F.lit(False).alias(IS_TRAIN)))
+    return split_features(both, key, text, label, cfg, cleaning)
+
+
+def split_features(both: DataFrame, key: str, text: str, label: str, cfg: TfidfConfig = TfidfConfig(),
+                   cleaning: CleaningConfig | None = None) -> TextFeatures:
+    """The same for one table, whose column ``is_train`` says what is fitted on."""
     if cleaning is not None:
         both = preprocess(both, key, text, cleaning, out=text)
     columns = (key, label, IS_TRAIN)

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from lexispark.operators import bayes, knn, linear, reduce as svd, trees
+from lexispark.operators import bayes, knn, linear, reduce as svd, svm, trees
 from lexispark.operators.rows import truncated
 from lexispark.plans.features import TextFeatures
 from lexispark.session import BROADCAST_CELLS, class_values, materialize
@@ -41,8 +41,12 @@ def logistic_mllib(f: TextFeatures, c: float = 1.0, max_iter: int = 100) -> Data
     return linear.predict_rows(model, f.test_rows(), f.key, (f.label,))
 
 
-def linear_svm(f: TextFeatures, c: float = 1.0, max_iter: int = 100, squared_hinge: bool = False) -> DataFrame:
-    if squared_hinge:
+def linear_svm(f: TextFeatures, c: float = 1.0, max_iter: int = 100, squared_hinge: bool = False, newton: bool = False) -> DataFrame:
+    """Hinge loss by MLlib, squared hinge by gradient steps, or squared hinge at its optimum (``newton``)."""
+    if newton:
+        # positions beyond the terms that were found would be empty
+        model = svm.fit_svm(f.train_rows(), f.key, f.label, max(1, f.vocab.count()), c, max_steps=max_iter)
+    elif squared_hinge:
         model = linear.fit_squared_hinge_svm(f.train_rows(), f.key, f.label, f.n_features, c, epochs=max_iter)
     else:
         model = linear.fit_ovr_mllib(linear.ml_vectors(f.train_rows(), f.n_features), f.label, "svc", c, max_iter)

@@ -1,8 +1,8 @@
 """Registered queries over the given tables, with the SQL they are checked against."""
 
-from lexispark.workload import evaluation, features, models, profiles, splits, tables, texts
+from lexispark.workload import evaluation, features, models, profiles, splits, svm, tables, texts
 
-PARTS = (tables, profiles, texts, features, splits, models, evaluation)
+PARTS = (tables, profiles, texts, features, splits, models, evaluation, svm)
 
 
 def all_queries() -> dict:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark.functions import text as T
@@ -95,11 +93,9 @@ def test_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def size_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and summed weights of every document for each vocabulary size."""
     f = features(spark, sf_dir)
-    parts = [R.truncated(f.rows, size).where("size(idx) > 0").select(
-        F.lit(size).cast("long").alias("size"), KEY, F.size("idx").cast("long").alias("n_terms"),
+    return R.swept_rows(f.rows, SWEEP, (KEY,)).where("size(idx) > 0").select(
+        "size", KEY, F.size("idx").cast("long").alias("n_terms"),
         rounded(F.aggregate("w", F.lit(0.0), lambda s, x: s + x)).alias("sum_w"), rounded(F.array_max("w")).alias("max_w"))
-        for size in SWEEP]
-    return reduce(DataFrame.unionByName, parts)
 
 
 def text_svd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lexispark.functions import text as T
 from lexispark.operators.cleaning import CleaningConfig
 from lexispark.operators.vocabulary import TfidfConfig
-from lexispark.plans.features import TextFeatures, text_features
+from lexispark.plans.features import IS_TRAIN, TextFeatures, split_features
 from lexispark.session import spread
 
 KEY, LABEL = "doc_id", "lang"
@@ -72,8 +72,9 @@ def latex_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str, cfg: TfidfConfig = TFIDF) -> TextFeatures:
-    known = table(spark, sf_dir, "labels")
-    return text_features(train_texts(spark, sf_dir), texts(spark, sf_dir).join(known, KEY, "left_anti"), KEY, "text", LABEL, cfg, CLEANING)
+    known = table(spark, sf_dir, "labels").select(KEY, F.lit(True).alias("_known")).distinct()
+    both = texts(spark, sf_dir).join(known, KEY, "left").select(KEY, LABEL, "text", F.col("_known").isNotNull().alias(IS_TRAIN))
+    return split_features(both, KEY, "text", LABEL, cfg, CLEANING)
 
 
 def cleaned_train(spark: SparkSession, sf_dir: str) -> DataFrame:
