@@ -63,11 +63,21 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def labelled_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts of good quality with their language as the domain."""
+    """Texts of good quality with their language as the domain: at most ``mixing.LABELLED_ROWS`` distinct ones.
+
+    Ids meet the labels without their texts; the few that are chosen, by the hash of domain and text, are then sent to
+    the texts.
+    """
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    return docs.select("doc_id", "text", F.col("lang").alias("domain")).where("domain is not null").join(good, "doc_id", "left_semi")
+    named = docs.select("doc_id", F.col("lang").alias("domain"), F.xxhash64("lang", "text").alias("key")).where("domain is not null and doc_id is not null")
+    chosen = named.join(good, "doc_id", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).orderBy("key").limit(mixing.LABELLED_ROWS)
+    chosen = materialize(chosen.select("doc_id"), "labelled-ids")
+    return docs.select("doc_id", "text", F.col("lang").alias("domain")).where("domain is not null").join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the rate they are to be read at, so that languages have their target shares of words."""
+    """All documents with the rate they are to be read at, so that languages have their target shares of words.
+
+    The rate is this stage's decision; no row is left out.  Nulls, repeated rows and empty tables are as in ``soft_mix``.
+    """
     return mixing.soft_mix(docs, labelled_domains(spark, docs, sf_dir), SHARES)
