@@ -12,8 +12,6 @@ vocabulary's as prior.  The base score is an add-one word model of the same trai
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +24,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from lexispark.llm.common import spread_scan
 from lexispark.session import materialize
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 # The mark of a word's beginning, and how the vocabulary writes bytes.
 MARK = "▁"
 BYTE = "<0x{:02X}>"
@@ -40,18 +36,23 @@ PRIOR_PIECES = 1000.0
 ROUNDS = 2
 #: Words with at least this part of all training tokens are looked up in the task: there are no more of them than its
 #: inverse.  The others meet their counts in a join.
-HOT_PART = 1e-5
-#: Characters up to which a word may be sent to all tasks.
+HOT_PART = 3e-6
 HOT_LETTERS = 256
-#: Distinct words a task counts, or remembers the probability of, before it begins anew.
-HELD_WORDS = 200_000
-#: Characters of words whose lattices are built together, and of texts that are scored together.
+#: Rows of partial counts that a task holds before it puts equal words together, or hands them on.
+HELD_WORDS = 1_000_000
+#: Characters of words whose lattices are built together, and bytes of texts that are scored together.
 TOGETHER = 1 << 16
-SCORED_TOGETHER = 1 << 18
+SCORED_TOGETHER = 1 << 22
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").translate(LOWER)) if text else []
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The words of each text: runs of anything but the six ASCII white spaces, with A-Z in lower case."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    full = pc.not_equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    size = np.bincount(pc.list_parent_indices(lists).to_numpy()[full], minlength=len(lists))
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.filter(pa.array(full)))
 
 
 @dataclass
@@ -175,17 +176,17 @@ class Lattice:
             return total, None
         backward = np.full(len(forward), -np.inf)
         backward[final] = 0.0
-        by_end = np.lexsort((target, -(target - start[word[order]])))
-        gap = (target - start[word[order]])[by_end]
-        ends = np.searchsorted(-gap, -np.arange(int(size.max(initial=0)), -1, -1))
+        # by the places that follow: arcs that end at one place of a word begin at distinct ones
+        after = (final[word[order]] - target).astype(np.uint16 if len(chars) < 1 << 16 else np.int64)
+        by_end = np.argsort(after, kind="stable")
+        ends = np.searchsorted(after[by_end], np.arange(int(size.max(initial=0)) + 1))
         for a, b in zip(ends[:-1], ends[1:]):
             s, t, w = source[by_end[a:b]], target[by_end[a:b]], weight[by_end[a:b]]
             backward[s] = np.logaddexp(backward[s], backward[t] + w)
         share = np.exp(forward[source] + weight + backward[target] - total[word[order]]) * counts[word[order]]
-        expected = np.zeros(len(self.logs))
         kinds = piece[order]
         known = kinds >= 0
-        np.add.at(expected, kinds[known], share[known])
+        expected = np.bincount(kinds[known], share[known], len(self.logs))
         back = np.empty(len(order), dtype=np.int64)
         back[order] = np.arange(len(order))
         for at, ids in zip(spelled, spelling):
@@ -194,24 +195,19 @@ class Lattice:
 
     def pieces_of(self, words: list[str]) -> Iterator[tuple[int, int]]:
         """Ranges of words whose lattices are built together."""
-        a, held = 0, 0
-        for b, w in enumerate(words):
-            if b > a and held + len(w) + 1 > TOGETHER:
-                yield a, b
-                a, held = b, 0
-            held += len(w) + 1
-        if words:
-            yield a, len(words)
+        size = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+        cuts = [0, *(np.flatnonzero(np.diff(size // TOGETHER)) + 1).tolist(), len(words)]
+        yield from ((a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a)
 
 
 @dataclass
 class Model:
-    """What training gives: the stored word counts, the commonest of them, and the log probabilities of the pieces."""
+    """What training gives: ``counts(word, n, log)`` as stored, the commonest of them, the log probabilities of the pieces."""
 
     vocabulary: Vocabulary
     logs: np.ndarray
     counts: DataFrame
-    hot: dict[str, int]
+    hot: pa.Table
     documents: int
     tokens: int
     distinct: int
@@ -221,24 +217,40 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word`` and ``n`` over all texts of ``docs``; tasks hand on partial counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(words_of(text))
-                if len(held) > HELD_WORDS:
-                    yield out()
-                    held.clear()
+            for _, texts in _slices(batch.column(0)):
+                found = words_of(texts).flatten().value_counts()
+                held.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+                if sum(t.num_rows for t in held) > HELD_WORDS:
+                    held = [merged()]
+                    if held[0].num_rows > HELD_WORDS // 2:
+                        yield from held[0].to_batches()
+                        held = []
         if held:
-            yield out()
+            yield from merged().to_batches()
 
     found = spread_scan(docs.select(F.col(text_col).alias("text"))).mapInArrow(run, "word string, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def with_logs(words: DataFrame, vocabulary: Vocabulary, logs: np.ndarray) -> DataFrame:
+    """``words(word, n)`` with the natural log probability ``log`` of each word, over all its segmentations."""
+    lattice = Lattice(vocabulary, logs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            found = [lattice.run(names[a:b])[0] for a, b in lattice.pieces_of(names)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *found]))], ["word", "n", "log"])
+
+    return spread_scan(words.select("word", "n")).mapInArrow(run, "word string, n long, log double")
+
+
 def expected_pieces(counts: DataFrame, vocabulary: Vocabulary, logs: np.ndarray) -> np.ndarray:
     """How often each piece is expected in the words of ``counts(word, n)``, by the given probabilities."""
     lattice = Lattice(vocabulary, logs)
@@ -273,16 +285,17 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", round
         expected += PRIOR_PIECES * np.exp(vocabulary.logs)
         with np.errstate(divide="ignore"):
             logs = np.log(expected / expected.sum())
-    hot = counts.where((F.col("n") >= max(1.0, hot_part * tokens)) & (F.length("word") <= HOT_LETTERS))
-    return Model(vocabulary, logs, counts, {r["word"]: r["n"] for r in hot.collect()}, n_docs, tokens, distinct)
+    counts = materialize(with_logs(counts, vocabulary, logs), "word-logs")
+    hot = counts.where((F.col("n") >= max(1.0, hot_part * tokens)) & (F.length("word") <= HOT_LETTERS)).toArrow()
+    return Model(vocabulary, logs, counts, hot, n_docs, tokens, distinct)
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts that are scored together, and where they begin; a longer text is alone."""
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts that are taken together, and where they begin; a longer text is alone."""
     size, a = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 0
     while a < len(size):
         b = a + max(1, int(np.searchsorted(np.cumsum(size[a:]), SCORED_TOGETHER, side="right")))
-        yield a, texts.slice(a, b - a).to_pylist()
+        yield a, texts.slice(a, b - a)
         a = b
 
 
@@ -295,7 +308,8 @@ def scores(docs: DataFrame, model: Model, carried: dict[str, Column], text_col:
     """
     names = list(carried)
     source = docs.select(*(c.alias(f"c{k}") for k, c in enumerate(carried.values())), F.col(text_col).alias("text"))
-    lattice, hot = Lattice(model.vocabulary, model.logs), model.hot
+    hot_words = model.hot.column("word").combine_chunks()
+    hot_n, hot_log = (model.hot.column(c).to_numpy() for c in ("n", "log"))
     below = float(np.log10(model.tokens + model.distinct + 1))
     known_end = int(model.documents > 0)
     base_end = float(np.log10(model.documents + 1)) - below
@@ -304,51 +318,51 @@ def scores(docs: DataFrame, model: Model, carried: dict[str, Column], text_col:
     columns = [*source.columns[:-1], "key", "n_tokens", "known", "base", "score", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered: dict[str, float] = {}
-        hot_base = {w: float(np.log10(n + 1)) - below for w, n in hot.items()}
+        hot_base = np.log10(hot_n + 1) - below
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             for start, texts in _slices(batch.column("text")):
-                counted = [Counter(words_of(t)) for t in texts]
-                new = list({w for c in counted for w in c} - remembered.keys())
-                if len(remembered) + len(new) > HELD_WORDS:
-                    remembered.clear()
-                    new = list({w for c in counted for w in c})
-                for a, b in lattice.pieces_of(new):
-                    remembered.update(zip(new[a:b], lattice.run(new[a:b])[0].tolist()))
-                rare_words, rare_counts, offsets, rows = [], [], [0], []
-                for c in counted:
-                    n, known, base, score = 1, known_end, base_end, log_end
-                    for w, k in c.items():
-                        n += k
-                        score += k * remembered[w]
-                        if w in hot_base:
-                            known += k
-                            base += k * hot_base[w]
-                        else:
-                            rare_words.append(w)
-                            rare_counts.append(k)
-                    offsets.append(len(rare_words))
-                    rows.append((key, n, known, base, score / np.log(10)))
-                    key += 1
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                out = [pa.array(x, t) for x, t in zip(zip(*rows), types)]
-                rare = pa.StructArray.from_arrays([pa.array(rare_words, pa.string()), pa.array(rare_counts, pa.int64())], ["word", "k"])
-                out.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare))
-                old = batch.slice(start, len(texts)).columns[:-1]
-                yield pa.RecordBatch.from_arrays([*old, *out], columns)
+                lists = words_of(texts)
+                size = lists.value_lengths().to_numpy()
+                coded = lists.flatten().dictionary_encode()
+                n_words = max(len(coded.dictionary), 1)
+                pair = np.repeat(np.arange(len(size)), size) * n_words + coded.indices.to_numpy()
+                pair, k = np.unique(pair, return_counts=True)
+                doc, word = np.divmod(pair, n_words)
+                at = pc.fill_null(pc.index_in(coded.dictionary, hot_words), -1).to_numpy()[word]
+                common = at >= 0
+                doc_hot, at, k_hot = doc[common], at[common], k[common]
+
+                def total(weights: np.ndarray) -> np.ndarray:
+                    return np.bincount(doc_hot, weights, len(size))
+
+                known = known_end + total(k_hot).astype(np.int64)
+                out = [key + np.arange(len(size)), 1 + size.astype(np.int64), known, base_end + total(k_hot * hot_base[at]), log_end + total(k_hot * hot_log[at])]
+                offsets = np.searchsorted(doc[~common], np.arange(len(size) + 1))
+                rare = [coded.dictionary.take(pa.array(word[~common])), pa.array(k[~common])]
+                rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(rare, ["word", "k"]))
+                key += len(size)
+                old = batch.slice(start, len(size)).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*old, *map(pa.array, out), rare], columns)
 
     added = "key long, n_tokens long, known long, base double, score double, rare array<struct<word: string, k: long>>"
     schema = T.StructType([*source.drop("text").schema, *T.StructType.fromDDL(added)])
     # written once, so a row's key is the same for both of its readers
     rows = materialize(spread_scan(source).mapInArrow(run, schema), "scored")
     rare = rows.select("key", F.explode("rare").alias("r")).select("key", "r.word", "r.k")
-    rare = rare.join(model.counts, "word", "left").groupBy("key").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("k") * (F.log10(F.coalesce("n", F.lit(0)) + 1) - below)).alias("rare_base"),
+    new = rare.select("word").distinct().join(model.counts, "word", "left_anti").withColumn("n", F.lit(0).cast("long"))
+    new = materialize(with_logs(new, model.vocabulary, model.logs), "new-words")
+    rare = rare.join(model.counts.unionByName(new), "word").groupBy("key").agg(
+        F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("rare_known"),
+        F.sum(F.col("k") * (F.log10(F.col("n") + 1) - below)).alias("rare_base"),
+        F.sum(F.col("k") * F.col("log")).alias("rare_log"),
     )
     rows = rows.drop("rare").join(rare, "key", "left")
+
+    def both(common: str, others: str) -> Column:
+        return F.col(common) + F.coalesce(F.col(others), F.lit(0))
+
     return rows.select(
-        *(F.col(f"c{k}").alias(n) for k, n in enumerate(names)), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score",
+        *(F.col(f"c{k}").alias(n) for k, n in enumerate(names)), "n_tokens", both("known", "rare_known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+        both("base", "rare_base").alias("base_score"), (both("score", "rare_log") / F.lit(float(np.log(10)))).alias("score"),
     )
