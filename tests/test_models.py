@@ -9,6 +9,7 @@ from lexispark.operators.bayes import fit_complement_nb, predict_complement_nb
 from lexispark.operators.vocabulary import TfidfConfig
 from lexispark.plans import predict
 from lexispark.plans.features import text_features
+from lexispark.session import materialize
 
 
 def _rows(spark, matrix, labels, start=0):
@@ -66,6 +67,37 @@ def test_knn_with_one_large_group_of_copies(spark):
     assert got == dict(enumerate(_brute(train, labels, test, 3)))
 
 
+@pytest.mark.parametrize("tile_rows", [8, 40])
+def test_knn_over_several_tiles(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(knn, "QUERIES_AT_ONCE", 5)
+    rng = np.random.default_rng(tile_rows)
+    centres = rng.normal(size=(4, 6))
+    train = centres[rng.integers(0, 4, 90)] + 0.3 * rng.normal(size=(90, 6))
+    train[30:60, 1:] = 0.0  # many distances of the same size
+    train[60] = train[61] = 0.0
+    labels = [str(v) for v in rng.integers(0, 3, 90)]
+    test = centres[rng.integers(0, 4, 40)] + 0.3 * rng.normal(size=(40, 6))
+    test[6] = 0.0
+    near = knn.knn_neighbours(_rows(spark, train, labels), _rows(spark, test, ["x"] * 40).drop("y"), "id", "y", 6, 3,
+                              block_rows=7, tile_rows=tile_rows)
+    got = {}
+    for r in near.orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append(r.neighbour)
+    assert got == dict(enumerate(_brute(train, labels, test, 3)))
+
+
+def test_knn_sends_a_query_once_for_each_tile(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(knn, "materialize", lambda df, name: (lambda out: (sent.append((name, out)), out)[1])(materialize(df, name)))
+    rng = np.random.default_rng(1)
+    train, test = rng.normal(size=(300, 6)), rng.normal(size=(40, 6))
+    near = knn.knn_neighbours(_rows(spark, train, ["a"] * 300), _rows(spark, test, ["x"] * 40).drop("y"), "id", "y", 6, 2,
+                              block_rows=8, tile_rows=100)
+    assert near.count() == 80
+    routes = sum(df.select(F.sum(F.size("tiles"))).first()[0] for name, df in sent if "tiles" in df.columns)
+    assert routes <= 40 * 5  # 300 rows in blocks of 8 would be 38 for each query
+
+
 def test_vote_rules(spark):
     rows = [
         (1, "b", 0.5, 1), (1, "a", 0.25, 2),     # the nearer one wins
