@@ -1,5 +1,6 @@
 """Metrics, searches and reports on hand-made results."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,27 @@ def test_reports(spark):
     svd = spark.createDataFrame([(50, 0.3), (200, 0.4)], "n_components long, f double")
     combined = report.combined_report({"svd": (svd, "n_components"), "fs": (fs, "max_features")}).collect()
     assert [(r.method, r["size"]) for r in combined] == [("fs", 500), ("fs", 100), ("svd", 200), ("svd", 50)]
+
+
+def test_bayes_folds_inside_the_row_equal_joins(spark, monkeypatch):
+    from lexispark.plans import search
+
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, "abc"[i % 3], i % 4, " ".join(rng.choice(words[(i % 3) * 8: (i % 3) * 8 + 14], 12))) for i in range(60)]
+    rows += [(5, "c", 0, "w1 w1 w20"), (5, "c", 0, "w1 w2"), (6, "a", 1, "w9"), (6, "a", 2, "w9 w10")]  # repeated keys
+    rows += [(None, "a", 0, "w3 w4"), (None, "b", 1, "w3 w25 w25"), (90, None, 2, "w7 w8"), (91, "b", 3, ""), (92, "b", 3, None)]
+    docs = spark.createDataFrame(rows, "id long, y string, fold int, text string")
+    candidates = search.grid(spark, ngram_max=[1, 2], min_df=[1, 2], max_features=[10, 25], sublinear_tf=[True, False],
+                             alpha=[0.5], norm=[False, True])
+    written = []
+    monkeypatch.setattr(search, "materialize", lambda df, name: (written.append(name), df)[1])
+
+    def scores(train):
+        found = search.cnb_cross_validation(docs, "id", "y", "fold", "text", candidates, 4, train_scores=train)
+        return {(r.candidate, r.part, r.fold): (r.n, round(r.accuracy, 9), round(r.macro_f1, 9)) for r in found.collect()}
+
+    inside = scores(True), scores(False)
+    assert "cv-weights" not in written  # no table of documents times terms times vocabularies
+    monkeypatch.setattr(search, "BROADCAST_CELLS", 0)
+    assert (scores(True), scores(False)) == inside and inside[1]
