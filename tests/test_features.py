@@ -103,3 +103,12 @@ def test_encoding_of_gaps(spark):
     df = spark.createDataFrame([(7,), (2,), (7,)], "y long")
     rows = decode_labels(encode_labels(df, "y"), [2, 7]).collect()
     assert [(r.y, r.label_idx, r.label) for r in rows] == [(7, 1, 7), (2, 0, 2), (7, 1, 7)]
+
+
+def test_terms_are_counted_in_small_slices():
+    from lexispark.operators import rows
+
+    lengths = np.full(10_000, 300)
+    parts = list(rows._slices(lengths))
+    assert parts[0][0] == 0 and parts[-1][1] == len(lengths)
+    assert max(lengths[a:b].sum() for a, b in parts) <= 1 << 18  # a batch of 10,000 texts was two slices
