@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from lexispark.llm.common import crc_fold, result_schema, spread_scan, texts_of
@@ -34,7 +35,7 @@ RARE = 5
 BATCH = 256
 RATE = 0.01
 #: Words of which a worker remembers the input; beyond it begins anew.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 #: Words or pairs taken at once where each has many letter groups.
 AT_ONCE = 1 << 16
@@ -334,9 +335,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, i
     return texts, toxic
 
 
-def scores(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", carried: dict | None = None) -> DataFrame:
+def scores(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", carried: dict | None = None, text_in: bool = False) -> DataFrame:
     """``id`` and ``score`` of every row: the highest window of the whole text.
 
+    With ``text_in`` the first carried column is a struct that holds the text under ``text_col``; it is sent to the
+    tasks once.
+
     Null and empty texts and those without a word have score 0.  Repeated rows stay; other columns are ignored but
     those in ``carried``, columns of ``docs`` under new names.
     """
@@ -346,11 +350,14 @@ def scores(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(network)
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            sizes = np.cumsum([len(t) for t in texts])
-            found = [text_scores([texts[k] for k in at], words) for at in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes >> 20)) + 1) if len(at)]
+            column = batch.column(1).field(text_col) if text_in else batch.column(1)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            # the texts of a slice, not of the batch, are Python strings at a time
+            cuts = [0, *(np.flatnonzero(np.diff(sizes >> 20)) + 1), len(column)]
+            found = [text_scores(texts_of(column.slice(a, b - a)), words) for a, b in zip(cuts, cuts[1:]) if b > a]
             score = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), *batch.columns[2:]], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), *batch.columns[1 if text_in else 2 :]], names)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(c.alias(n) for n, c in carried.items()))
+    text = () if text_in else (F.col(text_col).alias("text"),)
+    rows = docs.select(F.col(id_col).alias("id"), *text, *(c.alias(n) for n, c in carried.items()))
     return spread_scan(rows).mapInArrow(run, result_schema(rows, "score double", carried))

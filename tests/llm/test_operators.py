@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -392,3 +393,26 @@ def test_groups_keep_all_chunks(spark):
     batch = pa.RecordBatch.from_arrays([pa.array([1] * 3), pa.array(["x" * 10] * 3)], ["k", "t"])
     whole = common.joined_batches([common.wide_strings(batch), common.wide_strings(batch)])
     assert whole.num_rows == 6 and pa.types.is_large_string(whole.schema.field("t").type)
+
+
+def test_toxicity_takes_a_carried_text_once(spark, monkeypatch):
+    rows = [(1, "a b c"), (2, None), (3, "word " * 300_000), (None, ""), (4, "a ö c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = toxicity.Network.new(1)
+    plain = {r.id: r.score for r in toxicity.scores(docs, network).collect()}
+    once = toxicity.scores(docs, network, carried={"row": F.struct("doc_id", "text")}, text_in=True)
+    assert once.columns == ["id", "score", "row"]
+    found = once.collect()
+    assert {r.id: r.score for r in found} == pytest.approx(plain) and sorted(r.row.text or "" for r in found) == sorted(t or "" for _, t in rows)
+
+
+def test_toxicity_reads_a_batch_in_slices(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "text_scores", lambda texts, words: (seen.append(len(texts)), np.zeros(len(texts)))[1])
+    monkeypatch.setattr(toxicity, "texts_of", lambda column: (seen.append(-len(column)), column.to_pylist())[1])
+    run = {}
+    monkeypatch.setattr(toxicity, "spread_scan", lambda df: type("Scan", (), {"mapInArrow": lambda self, fn, schema: run.update(fn=fn)})())
+    toxicity.scores(spark.createDataFrame([(1, "a")], "doc_id long, text string"), toxicity.Network.new(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["x" * 600_000] * 8)], ["id", "text"])
+    out = list(run["fn"](iter([batch])))
+    assert out[0].num_rows == 8 and min(seen) >= -2  # not all texts of the batch at once
