@@ -38,13 +38,20 @@ RATE = 0.01
 REMEMBERED = 100_000
 
 #: Words or pairs taken at once where each has many letter groups.
-AT_ONCE = 1 << 16
+AT_ONCE = 1 << 13
+#: Texts whose windows are laid out at once.
+TEXTS_AT_ONCE = 256
 
 words_of = re.compile(r"\w+").findall
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word buckets; letter group buckets of all words end to end; how many groups each word has."""
+    some = [_word_features(words[a : a + AT_ONCE]) for a in range(0, max(1, len(words)), AT_ONCE)]
+    return tuple(np.concatenate(x) for x in zip(*some))
+
+
+def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     size = np.array([len(w) + 2 for w in words], dtype=np.int64)
     start = np.cumsum(size) - size
@@ -64,7 +71,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
     def bucket(h: np.ndarray, n: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return (((h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(40)).astype(np.int64) % n
+            return ((((h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(40)).astype(np.int64) % n).astype(np.int16)
 
     return bucket(whole, WORDS), bucket(groups[order], CHARS), np.bincount(owner, minlength=len(words))
 
@@ -125,7 +132,11 @@ class Network:
         return out
 
     def projected(self, x: np.ndarray) -> np.ndarray:
-        return np.hstack([x @ self.p["Wf"] + self.p["bf"], x @ self.p["Wb"] + self.p["bb"]])
+        out = np.empty((len(x), 6 * HIDDEN), dtype=np.result_type(x, self.p["Wf"]))
+        for d, at in (("f", 0), ("b", 3 * HIDDEN)):
+            out[:, at : at + 3 * HIDDEN] = x @ self.p[f"W{d}"]
+            out[:, at : at + 3 * HIDDEN] += self.p[f"b{d}"]
+        return out
 
     def _run(self, gates: np.ndarray, there: np.ndarray, d: str, keep: list | None) -> np.ndarray:
         """States of one direction, [step, window, hidden]; ``gates`` [step, window, 3 hidden] of the inputs."""
@@ -243,12 +254,19 @@ def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOC
     del vocabulary
     first_group = np.cumsum(count) - count
     number, lengths = np.concatenate(numbers), np.array([len(n) for n in numbers])
-    at, there, text = windows(lengths)
-    at = number[at]
+    first_word = np.cumsum(lengths) - lengths
+    laid = []
+    for a in range(0, len(lengths), TEXTS_AT_ONCE):
+        place, here, of = windows(lengths[a : a + TEXTS_AT_ONCE])
+        laid.append((number[first_word[a] + place], here, a + of))
+    at, there, text = (np.concatenate(x) for x in zip(*laid))
+    del laid
     # the first choice of windows is by how much oftener a word or its letter groups occur in toxic texts
-    in_text = np.unique(np.repeat(np.arange(len(lengths)), lengths) * len(word) + number)
-    seen, in_word = np.divmod(in_text, len(word))
-    marked = marks[seen].astype(np.int8)
+    in_text = [np.unique(n) for n in numbers]
+    del numbers, number
+    marked = np.repeat(marks.astype(np.int8), [len(n) for n in in_text])
+    in_word = np.concatenate(in_text)
+    del in_text
     by_word, by_group = np.zeros((2, WORDS)), np.zeros((2, CHARS))
     np.add.at(by_word, (marked, word[in_word]), 1)
     for a in range(0, len(in_word), AT_ONCE):
@@ -260,7 +278,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOC
         network.p[k][v] = 0
     evidence = [np.log((n[1] + 0.5) / marks.sum()) - np.log((n[0] + 0.5) / (1 - marks).sum()) for n in (by_word, by_group)]
     odds = evidence[0][word] + np.maximum.reduceat(evidence[1][group], first_group)
-    score = np.where(there, odds[at], -np.inf).max(1)
+    score = np.concatenate([np.where(there[a : a + 2048], odds[at[a : a + 2048]], -np.inf).max(1) for a in range(0, len(at), 2048)])
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     step = 0
     a_round = -(-int((marks == 1).sum() + 4 * (marks == 0).sum()) // BATCH)
@@ -270,6 +288,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 10, epochs: int = EPOC
         if epoch:
             rows = network.projected(network.inputs(features))
             score = np.concatenate([network.forward(rows[at[a : a + 2048]], there[a : a + 2048]) for a in range(0, len(at), 2048)])
+            del rows
         chosen = []
         for k, mark in enumerate(marks):
             mine = np.arange(bounds[k], bounds[k + 1])

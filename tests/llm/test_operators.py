@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -416,3 +417,17 @@ def test_toxicity_reads_a_batch_in_slices(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(["x" * 600_000] * 8)], ["id", "text"])
     out = list(run["fn"](iter([batch])))
     assert out[0].num_rows == 8 and min(seen) >= -2  # not all texts of the batch at once
+
+
+def test_toxicity_features_of_many_words_are_made_in_slices():
+    words = [f"{k * 2654435761 % 2**40:x}wort" for k in range(5 * toxicity.AT_ONCE // 2)]
+    each = [toxicity.word_features([w]) for w in words[:50]]
+    some = toxicity.word_features(words[:50])
+    assert all(np.array_equal(np.concatenate([e[k] for e in each]), some[k]) for k in range(3))
+    assert [len(x) for x in toxicity.word_features([])] == [0, 0, 0]
+    tracemalloc.start()
+    found = toxicity.word_features(words)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < held + 3000 * toxicity.AT_ONCE
+    assert np.array_equal(found[0][-50:], toxicity.word_features(words[-50:])[0])
