@@ -247,3 +247,21 @@ def test_complement_nb_with_many_classes(spark):
         theta = fit_complement_nb(table, list(range(n)), "y", 0.5, norm)
         found = {r.term: r.theta for r in theta.select("term", "theta").collect()}
         assert np.allclose([found[t] for t in terms], expected)
+
+
+def test_models_trained_together_equal_those_trained_alone(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    tables = []
+    for n, n_features, labels in ((70, 6, "abc"), (41, 3, "bd"), (10, 4, "ab")):
+        rows = [(i, labels[i % len(labels)], list(range(n_features)), rng.standard_normal(n_features).tolist()) for i in range(n)]
+        tables.append((spark.createDataFrame(rows, "id long, label string, idx array<int>, w array<double>"), n_features))
+    cfg = linear.SgdConfig(batch_size=16, epochs=2)
+    alone = [linear.fit_ovr(rows, "id", "label", n, cfg) for rows, n in tables]
+    jobs, one = [], linear._batch_gradients
+    monkeypatch.setattr(linear, "_batch_gradients", lambda *a: jobs.append(1) or one(*a))
+    together = linear.fit_ovr_together(tables, "id", "label", cfg)
+    assert len(jobs) == 2 * 5  # the updates of the largest table, not of all three
+    for a, b in zip(alone, together):
+        assert a.classes == b.classes
+        np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9)
+        np.testing.assert_allclose(a.bias, b.bias, rtol=1e-9)
