@@ -15,9 +15,9 @@ SHARES = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network scores below ``TOXIC``; it learns from the labels outside fold 0 of 5."""
-    texts, toxic = toxicity.training_sample(docs, table(spark, sf_dir, "labels"), 0, TOXIC_FOLDS)
+    network = toxicity.trained(docs, table(spark, sf_dir, "labels"), 0, TOXIC_FOLDS)
     rows = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    scored = toxicity.scores(docs, toxicity.train(texts, toxic), carried={"row": rows}, text_in=True)
+    scored = toxicity.scores(docs, network, carried={"row": rows}, text_in=True)
     return scored.where(F.col("score") < TOXIC).select("row.*")
 
 

@@ -9,7 +9,7 @@ a toxic text the highest window counts, of a clean one the two highest and two r
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -336,6 +336,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, i
     The ids are chosen first, by their hash, and only they are sent to the texts.  Of an id that is marked both ways
     the mark is toxic.
     """
+    return _within_bounds(tuple(r) for r in _sample(docs, labels, fold, folds, id_col, text_col, label_col).collect())
+
+
+def _within_bounds(found: Iterable[tuple[int, int, str]]) -> tuple[list[str], list[int]]:
+    texts, toxic, left = [], [], list(TRAIN_DOCS)
+    for _, y, text in sorted(found):
+        if left[y]:
+            left[y] -= 1
+            texts.append(text)
+            toxic.append(y)
+    return texts, toxic
+
+
+def _sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """``at`` (a hash of the id), ``y`` and ``text`` of the chosen ids."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     marks = marks.where(crc_fold("id", folds) != fold).groupBy("id").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -344,14 +359,23 @@ def training_sample(docs: DataFrame, labels: DataFrame, fold: int, folds: int, i
     for y, n in sizes.items():
         picked = picked | ((F.col("y") == y) & (chance < int(1_000_000 * TRAIN_DOCS[y] / n)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, TRAIN_CHARS))
-    found = rows.join(F.broadcast(marks.where(picked)), "id").select(F.xxhash64("id").alias("at"), "y", "text").collect()
-    texts, toxic, left = [], [], list(TRAIN_DOCS)
-    for _, y, text in sorted(found):
-        if left[y]:
-            left[y] -= 1
-            texts.append(text)
-            toxic.append(y)
-    return texts, toxic
+    return rows.join(F.broadcast(marks.where(picked)), "id").select(F.xxhash64("id").alias("at"), "y", "text")
+
+
+def trained(docs: DataFrame, labels: DataFrame, fold: int, folds: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Network:
+    """``train`` on the ``training_sample``, in a task: the sample is bounded, and the driver gets the parameters only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))]
+        p = train(*_within_bounds(rows)).p
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(p)), pa.array([v.shape for v in p.values()], pa.list_(pa.int32())), pa.array([v.tobytes() for v in p.values()])], ["name", "shape", "cells"])
+
+    sample = _sample(docs, labels, fold, folds, id_col, text_col, label_col)
+    found = sample.repartition(1).mapInArrow(run, "name string, shape array<int>, cells binary").collect()
+    if not found:
+        return train([], [])
+    return Network({r["name"]: np.frombuffer(r["cells"], dtype=np.float32).reshape(r["shape"]).copy() for r in found})
 
 
 def scores(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", carried: dict | None = None, text_in: bool = False) -> DataFrame:

@@ -1,6 +1,7 @@
 """The operators against brute force, public libraries and held-out labels, on small tables and odd rows."""
 
 import hashlib
+import os
 import re
 import tracemalloc
 import zlib
@@ -318,6 +319,19 @@ def test_similar_pairs_in_a_hot_template(spark):
     assert sum(found[b] == a for a, b in near) >= 57
 
 
+def test_the_network_is_trained_in_a_task(spark, monkeypatch, tmp_path):
+    docs = spark.createDataFrame([(i, f"word{i % 7} kind bad{i % 5}" if i % 3 else f"word{i % 7} kind nice{i % 5}") for i in range(90)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 > 0 as int) as toxic")
+    right = toxicity.train(*toxicity.training_sample(docs, labels, 0, 5))
+    untrained, inner, at = toxicity.train([], []), toxicity.train, tmp_path / "process"
+    monkeypatch.setattr(toxicity, "train", lambda *a: at.write_text(str(os.getpid())) and inner(*a))
+    found = toxicity.trained(docs, labels, 0, 5)
+    assert at.read_text() != str(os.getpid())
+    assert found.p.keys() == right.p.keys() and all(np.allclose(found.p[k], right.p[k], atol=1e-4) for k in right.p)
+    nothing = toxicity.trained(docs, labels.limit(0), 0, 5)
+    assert all((nothing.p[k] == untrained.p[k]).all() for k in right.p)
+
+
 def test_repeated_lines_count_once(spark):
     rng = np.random.default_rng(9)
     words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
