@@ -40,8 +40,9 @@ NARROW_BITS = 3
 DENSE = 4
 #: Shingle sets that a task keeps while it verifies pairs.
 SETS = 1024
-#: What a row of a dense group is compared by, besides its node.
+#: What a row is compared by, besides its node and component.
 MEMBER = ("bucket", "tail", "own", "lo", "hi")
+GROUP = ["bucket", "lo", "hi"]
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -206,7 +207,7 @@ def _component_ids(nodes: DataFrame, key: str, linked: DataFrame) -> DataFrame:
     return rooted.join(least, "root").select(key, "component")
 
 
-def _segments(nodes: DataFrame, lanes: int, block: int, part: tuple[int, int] | None = None) -> DataFrame:
+def _segments(nodes: DataFrame, lanes: int, part: tuple[int, int] | None = None) -> DataFrame:
     """One row per 16-bit segment of ``nodes(node, component, bits array<long>)``, with the 64 bits that follow it in the ring.
 
     ``part`` is a range of lanes (None: all).
@@ -220,8 +221,7 @@ def _segments(nodes: DataFrame, lanes: int, block: int, part: tuple[int, int] |
             head = F.shiftrightunsigned(this, 48 - 16 * s).bitwiseAND(F.lit(0xFFFF))
             tail = after if by == 64 else F.shiftleft(this, by).bitwiseOR(F.shiftrightunsigned(after, 64 - by))
             pieces.append(F.struct(head.bitwiseOR(F.lit((lane * per_lane + s) << 16)).cast("int").alias("bucket"), tail.alias("tail")))
-    rows = nodes.select("node", "component", F.explode(F.array(*pieces)).alias("p")).select("node", "component", "p.bucket", "p.tail")
-    return block_rows(rows, "bucket", "node", block)
+    return nodes.select("node", "component", F.explode(F.array(*pieces)).alias("p")).select("node", "component", "p.bucket", "p.tail")
 
 
 def _chained(batch: pa.RecordBatch, starts: np.ndarray, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -241,17 +241,18 @@ def _chained(batch: pa.RecordBatch, starts: np.ndarray, budget: float) -> Iterat
 
 
 def wide_candidates(rows: DataFrame, budget: float, forests: bool = True) -> DataFrame:
-    """What the groups of ``rows`` (of ``_segments``) have to be compared: pairs ``(a, b)``, and members of dense groups.
+    """Pairs ``(a, b)`` that the groups of ``rows`` (of ``_segments``, in blocks) have to be compared by, and the groups that are
+    not settled by them (``bucket``, ``lo``, ``hi``; ``a`` and ``b`` null).
 
     A group of at most ``DENSE`` pairs a row gives all of them.  A denser one gives a spanning forest of its pairs to
-    leading nodes (none without ``forests``), and its rows that are in any pair (``b`` null), for what is still open when the
-    forest has been verified.
+    leading nodes (none without ``forests``) and itself, in one row: its rows are found again by that, when the forest has
+    been verified.  Every block of a bucket but its first gives itself as well, for the pairs across blocks.
     """
 
     def run(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
         n = batch.num_rows
         size = np.diff(np.append(starts, n))
-        group, passed, paired = np.repeat(np.arange(len(starts)), size), np.zeros(len(starts), dtype=np.int64), np.zeros(n, dtype=bool)
+        group, passed = np.repeat(np.arange(len(starts)), size), np.zeros(len(starts), dtype=np.int64)
         found, node = [(np.zeros(0, dtype=np.int64),) * 3], batch.column("node").to_numpy()
 
         def thin(i: np.ndarray, j: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -261,16 +262,17 @@ def wide_candidates(rows: DataFrame, budget: float, forests: bool = True) -> Dat
 
         for i, j, seen in _chained(batch, starts, budget):
             passed += np.bincount(group[i], minlength=len(starts))
-            paired[i] = paired[j] = True
             found.append(thin(i, j, seen))
         i, j, _ = thin(*(np.concatenate(f) for f in zip(*found)))
-        members = batch.filter(pa.array((passed > DENSE * size)[group] & paired))
-        empty = [pa.nulls(len(i), members.schema.field(c).type) for c in MEMBER]
-        pairs = [pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j])), *empty]
-        rest = [members.column("node"), pa.nulls(members.num_rows, pa.int64()), *(members.column(c) for c in MEMBER)]
-        return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(pairs, rest)], ["a", "b", *MEMBER])
+        left = passed > DENSE * size
+        if forests:
+            left |= batch.column("own").to_numpy()[starts] > 0
+        groups = batch.select(GROUP).take(pa.array(starts[left]))
+        pairs = [pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j])), *(pa.nulls(len(i), c.type) for c in groups.columns)]
+        rest = [*[pa.nulls(groups.num_rows, pa.int64())] * 2, *groups.columns]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(pairs, rest)], ["a", "b", *GROUP])
 
-    return scan_groups(rows.select("node", "component", *MEMBER), ["bucket", "lo", "hi"], run, "a long, b long, bucket int, tail long, own int, lo int, hi int")
+    return scan_groups(rows.select("node", "component", *MEMBER), GROUP, run, "a long, b long, bucket int, lo int, hi int")
 
 
 def _within(pairs: DataFrame, nodes: DataFrame, max_bits: int) -> DataFrame:
@@ -282,13 +284,23 @@ def _within(pairs: DataFrame, nodes: DataFrame, max_bits: int) -> DataFrame:
     return pairs.select("a", "b", apart.alias("apart")).where(F.col("apart") <= max_bits)
 
 
-def _open_groups(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """The rows of dense groups that are not yet one component, with their components so far."""
-    keys = ["bucket", "lo", "hi"]
-    rows = members.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = materialize(rows, "wide-members")
-    split = rows.groupBy(*keys).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select(*keys)
-    return materialize(rows.join(split, keys, "left_semi"), "wide-open")
+def _of(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of these ``keys``."""
+    return rows.join(F.broadcast(keys) if fits_broadcast(keys) else keys, by, "left_semi")
+
+
+def _named(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each node so far."""
+    if linked is None:
+        return rows.withColumn("component", F.col("node"))
+    return rows.drop("component").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _open_rows(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of the groups in ``keys`` that are not one component."""
+    rows = materialize(_of(rows, materialize(keys.distinct(), "wide-left"), by), "wide-members")
+    split = rows.groupBy(*by).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select(*by)
+    return materialize(_of(rows, materialize(split, "wide-split"), by), "wide-open")
 
 
 def _dense_links(rows: DataFrame, budget: float, words: int, similarity: float) -> DataFrame:
@@ -321,7 +333,7 @@ def _dense_links(rows: DataFrame, budget: float, words: int, similarity: float)
                         b.append(node[y])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return scan_groups(rows.select("node", "component", *MEMBER, "text"), ["bucket", "lo", "hi"], run, "a long, b long")
+    return scan_groups(rows.select("node", "component", *MEMBER, "text"), GROUP, run, "a long, b long")
 
 
 def _shingle_set(text: str | None, words: int) -> frozenset:
@@ -398,22 +410,24 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return _jaccard(pairs, texts, words, similarity)
 
     def compared(segments: DataFrame, links: DataFrame | None, forests: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """All verified links after these segments, the components they make, and the members of dense groups."""
+        """All verified links after these segments, the components they make, and the groups that are left."""
         found = materialize(wide_candidates(segments, budget, forests), "wide-candidates")
         new = materialize(verified(found.where("b is not null").select("a", "b")), "wide-verified")
         links = new if links is None else links.unionByName(new)
-        return links, materialize(connected_components(links), "wide-components"), found.where("b is null").select(F.col("a").alias("node"), *MEMBER)
+        return links, materialize(connected_components(links), "wide-components"), found.where("b is null").select(*GROUP)
 
-    # near copies meet in most segments; those that the first lanes join are one component when the others are compared
-    links = linked = members = None
+    # near copies meet in most segments; those that the first lanes join are one component when the others are compared.
+    # A row is compared in its own block of a bucket at first: what the blocks join needs no comparison across them
+    links = linked = left = None
     for part in _parts(lanes):
-        named = nodes.withColumn("component", F.col("node")) if linked is None else nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        links, linked, dense = compared(_segments(named, lanes, block, part), links, True)
-        members = dense if members is None else members.unionByName(dense)
-    segments = _open_groups(members, linked)
+        segments = block_rows(_segments(_named(nodes, linked), lanes, part), "bucket", "node", block, across=False)
+        links, linked, dense = compared(segments, links, True)
+        left = dense if left is None else left.unionByName(dense)
+    segments = _open_rows(_segments(_named(nodes, linked), lanes), left.select("bucket"), ["bucket"])
     if segments.take(1):
-        links, linked, members = compared(segments, links, False)
-        segments = _open_groups(members, linked)
+        segments = materialize(block_rows(segments, "bucket", "node", block), "wide-blocks")
+        links, linked, left = compared(segments, links, False)
+        segments = _open_rows(_named(segments, linked), left, GROUP)
         if segments.take(1):
             texts = texts_of_nodes(segments.select("node"))
             links = links.unionByName(materialize(_dense_links(segments.join(texts, "node"), budget, words, similarity), "wide-dense"))

@@ -1,7 +1,7 @@
 """The stages' decisions against brute force on a small table."""
 
 import corpus_pipeline
-from lexispark.llm import decontaminate, pii, stages
+from lexispark.llm import decontaminate, pii, simhash, stages
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,3 +50,21 @@ def test_near_copies_under_a_repeated_id(spark):
     found = [(r.doc_id, r.text) for r in kept.collect()]
     assert len(found) == len(set(found)) == 7 and sum(i == 7 for i, _ in found) == 1
     assert {(1, text("a")), (5, text("b")), (6, text("c")), (6, text("d")), (8, text("f")), (None, text("a"))} < set(found)
+
+
+def test_candidates_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    made, inner = {}, simhash.materialize
+
+    def counted(df, name, *args):
+        made.setdefault(name, []).append(kept := inner(df, name, *args))
+        return kept
+
+    monkeypatch.setattr(simhash, "materialize", counted)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join([f"own{i}" if k == 3 * i % 400 else w for k, w in enumerate(words)]) for i in range(130)]
+    texts += [" ".join(f"x{i}y{k}" for k in range(50)) for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.id: r.component for r in simhash.similar_documents(docs, block=8).collect()}
+    assert found == {i: 0 if i < 130 else i for i in range(140)}
+    # each pair of the 17 blocks of a bucket gave its rows before, 12,782 in all
+    assert sum(x.count() for x in made["wide-candidates"]) < 20 * 140
