@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexispark.operators import knn, linear, trees
 from lexispark.operators.bayes import fit_complement_nb, predict_complement_nb
+from lexispark.operators.ranking import spread_join
 from lexispark.operators.vocabulary import TfidfConfig
 from lexispark.plans import predict
 from lexispark.plans.features import text_features
@@ -265,3 +266,11 @@ def test_models_trained_together_equal_those_trained_alone(spark, monkeypatch):
         assert a.classes == b.classes
         np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9)
         np.testing.assert_allclose(a.bias, b.bias, rtol=1e-9)
+
+
+def test_salted_copies_are_never_broadcast(spark):
+    big = spark.range(60).select("id", (F.col("id") % 3).cast("string").alias("k"))
+    small = spark.createDataFrame([("0", 5), ("0", 6), ("1", 7), (None, 8)], "k string, v int")
+    joined = spread_join(big, small, ["k"], ["id"], "inner")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.v) for r in joined.collect()) == sorted((i, v) for i in range(60) for k, v in ((0, 5), (0, 6), (1, 7)) if i % 3 == k)
