@@ -274,3 +274,22 @@ def test_salted_copies_are_never_broadcast(spark):
     joined = spread_join(big, small, ["k"], ["id"], "inner")
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.id, r.v) for r in joined.collect()) == sorted((i, v) for i in range(60) for k, v in ((0, 5), (0, 6), (1, 7)) if i % 3 == k)
+
+
+@pytest.mark.parametrize("loss", ["log", "squared_hinge"])
+def test_many_small_updates_are_one_job_an_epoch(spark, monkeypatch, loss):
+    rng = np.random.default_rng(6)
+    tables = []
+    for n, n_features, labels in ((90, 6, "abc"), (31, 3, "bd")):
+        rows = [(i, labels[i % len(labels)], list(range(n_features)) if i % 7 else [], rng.standard_normal(n_features if i % 7 else 0).tolist()) for i in range(n)]
+        tables.append((spark.createDataFrame(rows, "id long, label string, idx array<int>, w array<double>"), n_features))
+    cfg = linear.SgdConfig(batch_size=4, epochs=2, loss=loss, learning_rate=0.1)
+    one = linear._batch_gradients
+    monkeypatch.setattr(linear, "_batch_gradients", None)  # a job for each update
+    streamed = linear.fit_ovr_together(tables, "id", "label", cfg)
+    monkeypatch.setattr(linear, "_batch_gradients", one)
+    monkeypatch.setattr(linear, "STREAMED_UPDATES", 10**6)
+    for a, b in zip(streamed, linear.fit_ovr_together(tables, "id", "label", cfg)):
+        assert a.classes == b.classes
+        np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9)
+        np.testing.assert_allclose(a.bias, b.bias, rtol=1e-9)
